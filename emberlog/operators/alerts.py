@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import bucket_start
 from ..functions.score import z_score
 from .joins import attach
 from .rank import above
+from .windows import over_series
 
 SCORE = "anomaly_score"
 
@@ -47,13 +49,17 @@ def count_alert(scored: DataFrame, threshold: Column | float, limit: int) -> Dat
     return above(scored, threshold).agg(F.count(F.lit(1)).alias("n_anomalies")).where(F.col("n_anomalies") > limit)
 
 
-def zscore_alerts(series: DataFrame, buckets: int = 60, z: float = 3.0, by: Sequence[str] = ("service_id",)) -> DataFrame:
+def zscore_alerts(series: DataFrame, buckets: int = 60, z: float = 3.0, by: Sequence[str] = ("service_id",),
+                  chunk_rows: int | None = None) -> DataFrame:
     """Buckets of an anomaly series whose count stands out from the ``buckets`` before it and itself."""
-    w = Window.partitionBy(*by).orderBy("bucket_start").rowsBetween(-buckets, 0)
     x = F.col("n_anomalies")
     wide = x.cast("decimal(20,0)")
-    score = z_score(x, F.count(F.lit(1)).over(w), F.sum(wide).over(w), F.sum(wide * wide).over(w))
-    return series.withColumn("z", score).where(F.col("z") > z)
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        last = w.rowsBetween(-buckets, 0)
+        return {"z": z_score(x, F.count(F.lit(1)).over(last), F.sum(wide).over(last), F.sum(wide * wide).over(last))}
+
+    return over_series(series, by, "bucket_start", buckets, columns, chunk_rows).where(F.col("z") > z)
 
 
 def alert_examples(scored: DataFrame, threshold: Column | float, limit: int, k: int, bucket: str = "hour",

@@ -8,14 +8,14 @@ not counted by row frames; ``frame="range"`` measures in minutes instead.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import BUCKET_SECONDS, bucket_start, epoch_seconds
 from ..functions.score import ratio, z_score
 from .joins import attach
+from .windows import over_series
 
 VELOCITY_BUCKETS, LAG_BUCKETS, SURGE_BUCKETS, SURGE_Z = 10, 10, 60, 3.0
-HALO = 60
-CHUNK_ROWS = 1_000_000
 
 
 def _features(frame10, frame61, lagged: Column) -> dict[str, Column]:
@@ -39,47 +39,19 @@ def context(merged: DataFrame, frame: str = "rows", bucket: str = "minute",
             chunk_rows: int | None = None) -> DataFrame:
     """Merged buckets with throughput_velocity, error_acceleration, is_surge and has_baseline.
 
-    One service has one row per bucket, so its series is short next to its logs. For very long
-    histories give ``chunk_rows``: a series is then cut into chunks that are computed apart, each with the
-    60 rows before it for company, and the result is the same.
+    ``chunk_rows`` is that of :func:`emberlog.operators.windows.over_series`.
     """
     rates = with_rates(merged)
     if frame == "range":
         return _range_context(rates, bucket)
-    if chunk_rows:
-        return _chunked_context(rates, chunk_rows)
-    return rates.withColumns(_row_features(Window.partitionBy("service_id").orderBy("window_start")))
+    return over_series(rates, ["service_id"], "window_start", SURGE_BUCKETS, _row_features, chunk_rows)
 
 
-def _row_features(w) -> dict[str, Column]:
+def _row_features(w: WindowSpec) -> dict[str, Column]:
     return _features(w.rowsBetween(1 - VELOCITY_BUCKETS, 0), w.rowsBetween(-SURGE_BUCKETS, 0),
                      F.lag("error_rate", LAG_BUCKETS).over(w))
 
 
-def _chunked_context(rates: DataFrame, chunk_rows: int) -> DataFrame:
-    """Row frames over chunks of a series.
-
-    Every bucket gets its number in the series from the number of buckets of the days before and its
-    place in its own day, so no task sees more than a day (or the list of days) of a service.
-    """
-    if chunk_rows < HALO:
-        raise ValueError(f"a chunk must hold {HALO} rows at least")
-    days = rates.withColumn("_day", F.col("window_start").cast("date"))
-    before = Window.partitionBy("service_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (days.groupBy("service_id", "_day").agg(F.count(F.lit(1)).alias("_count"))
-                   .withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0))))
-    numbered = attach(days, offsets, ["service_id", "_day"], weight="_count").withColumn(
-        "_row", F.col("_before") + F.row_number().over(
-            Window.partitionBy("service_id", "_day").orderBy("window_start")) - 1)
-    own = F.floor(F.col("_row") / chunk_rows)
-    tail = F.col("_row") % chunk_rows >= chunk_rows - HALO
-    copies = numbered.withColumn("_own", own).withColumn(
-        "_chunk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))))
-    w = Window.partitionBy("service_id", "_chunk").orderBy("window_start")
-    return (copies.withColumns(_row_features(w)).where(F.col("_chunk") == F.col("_own"))
-                  .drop("_day", "_before", "_row", "_own", "_chunk"))
-
-
 def _range_context(rates: DataFrame, bucket: str) -> DataFrame:
     """Time-true frames: the last 10 and 61 bucket lengths, and the bucket exactly 10 lengths back.
 
@@ -116,15 +88,18 @@ def attach_context(logs: DataFrame, ctx: DataFrame, bucket: str = "minute") -> D
     return filled(attach(rows, right, ["service_id", "window_start"], weight="total_reqs")).drop("window_start")
 
 
-def rolling_latency(logs: DataFrame, buckets: int = VELOCITY_BUCKETS, bucket: str = "minute") -> DataFrame:
+def rolling_latency(logs: DataFrame, buckets: int = VELOCITY_BUCKETS, bucket: str = "minute",
+                    chunk_rows: int | None = None) -> DataFrame:
     """Mean latency of a service over its last ``buckets`` buckets, weighted by requests."""
     sums = logs.groupBy("service_id", bucket_start("timestamp", bucket).alias("window_start")).agg(
         F.count(F.lit(1)).alias("total_reqs"), F.sum("response_time_ms").alias("latency_sum"))
-    w = Window.partitionBy("service_id").orderBy("window_start").rowsBetween(1 - buckets, 0)
-    return sums.withColumns({
-        "avg_latency": ratio("latency_sum", "total_reqs"),
-        "rolling_latency": ratio(F.sum("latency_sum").over(w), F.sum("total_reqs").over(w)),
-    })
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        last = w.rowsBetween(1 - buckets, 0)
+        return {"avg_latency": ratio("latency_sum", "total_reqs"),
+                "rolling_latency": ratio(F.sum("latency_sum").over(last), F.sum("total_reqs").over(last))}
+
+    return over_series(sums, ["service_id"], "window_start", buckets, columns, chunk_rows)
 
 
 def seasonal_baseline(merged: DataFrame) -> DataFrame:

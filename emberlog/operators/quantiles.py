@@ -19,11 +19,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
 
     A sketch gives two values that are sure to lie around each wanted rank. In a second pass the values
     outside these brackets are only counted, so what is sorted in the end is the distinct values inside:
-    about 4/accuracy of the rows. The answer is that of a full sort.
+    at most 10/accuracy of the rows of a group, or all of a group of up to ``accuracy`` rows. The answer is
+    that of a full sort.
     """
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    margin = 2.0 / accuracy
+    # The sketch may be off by n/accuracy ranks, and counting ranks from 0 or 1 shifts them by up to 2 more.
+    margin = 4.0 / accuracy
     edges = [e for p in probs.values() for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges"),
@@ -37,9 +39,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
     brackets = []
     for i in range(len(probs)):
         low, high = F.col("_edges")[2 * i], F.col("_edges")[2 * i + 1]
-        # A rank close to an end of the data is bracketed by that end itself.
-        low = F.when(F.lit(edges[2 * i] == 0.0), F.col("_min")).otherwise(low)
-        high = F.when(F.lit(edges[2 * i + 1] == 1.0), F.col("_max")).otherwise(high)
+        # Small groups are sorted whole; a rank close to an end of the data is bracketed by that end itself.
+        small = F.col("_n") <= accuracy
+        low = F.when(small | F.lit(edges[2 * i] == 0.0), F.col("_min")).otherwise(low)
+        high = F.when(small | F.lit(edges[2 * i + 1] == 1.0), F.col("_max")).otherwise(high)
         brackets.append((low, high))
     entered = reduce(add, [F.when(F.col("_v") >= low, 1).otherwise(0) for low, _ in brackets])
     left = reduce(add, [F.when(F.col("_v") > high, 1).otherwise(0) for _, high in brackets])

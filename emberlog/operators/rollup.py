@@ -17,8 +17,17 @@ BACKFILL_BATCH = -1
 
 def rollup(logs: DataFrame, bucket: str = "minute") -> DataFrame:
     """Request and error counts per (service, bucket, hour). Of one batch these are its partial counts."""
-    return (logs.groupBy("service_id", bucket_start("timestamp", bucket).alias("window_start"),
-                         F.hour("timestamp").alias("hour_of_day"))
+    return _counts(logs, bucket, F.hour("timestamp").alias("hour_of_day"))
+
+
+def buckets(logs: DataFrame, bucket: str = "minute") -> DataFrame:
+    """Merged counts per (service, bucket) straight from all logs, for when there is no store of partials."""
+    return _counts(logs, bucket)
+
+
+def _counts(logs: DataFrame, bucket: str, *keys: Column) -> DataFrame:
+    start = bucket_start("timestamp", bucket).alias("window_start")
+    return (logs.groupBy("service_id", start, *keys)
                 .agg(F.count(F.lit(1)).alias("total_reqs"), F.count_if(is_error()).alias("error_reqs")))
 
 

@@ -47,7 +47,7 @@ def scored_logs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hour_buckets(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.merge_partials(rollup.rollup(events.logs(spark, d), "hour"))
+    return rollup.buckets(events.logs(spark, d), "hour")
 
 
 def now(spark: SparkSession, d: str) -> Column:
@@ -223,7 +223,7 @@ def context_rows(spark, d):
 
 @query
 def context_rows_minute(spark, d):
-    return _context_report(context.context(rollup.merge_partials(rollup.rollup(events.logs(spark, d)))))
+    return _context_report(context.context(rollup.buckets(events.logs(spark, d))))
 
 
 @query
@@ -584,7 +584,7 @@ def burst_whatif(spark, d):
 def burst_context(spark, d):
     """What the context of the burst hours looks like after the burst."""
     burst = whatif.amplify(events.logs(spark, d), *span(BURST))
-    ctx = context.context(rollup.merge_partials(rollup.rollup(burst, "hour")))
+    ctx = context.context(rollup.buckets(burst, "hour"))
     return _context_report(ctx.where(in_range("window_start", *span(BURST))))
 
 
@@ -606,7 +606,7 @@ def gbt_scores_v1(spark, d):
 
 def _adaptive(spark, d):
     logs = events.logs(spark, d)
-    rolled = pinned(rollup.merge_partials(rollup.rollup(logs, "hour")))
+    rolled = pinned(rollup.buckets(logs, "hour"))
     train, _ = model.split(view.training_events(logs, rolled, "hour", keep=("event_id",)), ["event_id"])
     return logs, rolled, model.train(pinned(train), rounds=GBT_ROUNDS)
 

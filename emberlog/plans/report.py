@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+
 from ..operators.evaluate import LABEL, SCORE, precision_recall_f1, suggest_threshold
+from ..session import stored
 
 SAMPLE = 50_000
 
@@ -18,9 +20,11 @@ def validation_report(scored: DataFrame, threshold: float | None = None, sample:
     ``sample`` caps the rows once for every figure (in ``order`` when given); None or 0 takes all. The
     threshold is the 0.9 quantile unless set.
     """
-    rows = scored.select(LABEL, SCORE, *order)
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # Scored once; the three passes below read two narrow columns.
+    rows = stored(scored.select(LABEL, SCORE, *order))
+    total = F.col("sample_rows")
     if sample:
+        total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
         rows = (rows.orderBy(*order) if order else rows).limit(sample)
     t = F.lit(threshold).cast("double") if threshold is not None else suggest_threshold(rows).scalar()
     rows = rows.withColumn("_t", t)

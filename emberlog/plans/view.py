@@ -30,7 +30,7 @@ def scored_context(logs: DataFrame, rolled: DataFrame | None = None, bucket: str
 
     The result keeps one row per log row, also where a bucket is missing.
     """
-    merged = ru.merge_partials(ru.rollup(logs, bucket)) if rolled is None else rolled
+    merged = ru.buckets(logs, bucket) if rolled is None else rolled
     return ctx.attach_context(logs, ctx.context(merged, frame, bucket, chunk_rows), bucket)
 
 
@@ -48,7 +48,7 @@ def scored_between(logs: DataFrame, partials: DataFrame, scorer: Callable[[DataF
     A filter on log time cannot move below the windows by itself. Here logs are read for the range
     only, and buckets from one halo (60 buckets) before it, which range frames never look past.
     """
-    halo = seconds(ctx.HALO * BUCKET_SECONDS[bucket] + BUCKET_SECONDS[bucket])
+    halo = seconds((ctx.SURGE_BUCKETS + 1) * BUCKET_SECONDS[bucket])
     near = partials.where(in_range("window_start", start - halo, end))
     rows = logs.where(in_range("timestamp", start, end))
     return scorer(scored_context(rows, ru.merge_partials(near), bucket, frame="range"))

@@ -49,3 +49,10 @@ def pinned(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Like :func:`pinned`, as a Parquet table: for frames of many rows that several passes read in part."""
+    path = fresh_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
