@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
 BUCKET_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
@@ -23,7 +21,8 @@ def bucket_start(ts: Column | str, unit: str) -> Column:
     seconds = F.extract(F.lit("SECOND"), ts)
     zero = F.lit(0)
     if unit == "millisecond":
-        below = F.make_dt_interval(zero, zero, zero, seconds % F.lit(Decimal("0.001")))
+        # A remainder of decimals is ten times slower than taking the floor off.
+        below = F.make_dt_interval(zero, zero, zero, seconds - F.floor(seconds, F.lit(3)))
     elif unit == "minute":
         below = F.make_dt_interval(zero, zero, zero, seconds)
     elif unit == "hour":

@@ -55,11 +55,12 @@ def zscore_alerts(series: DataFrame, buckets: int = 60, z: float = 3.0, by: Sequ
     x = F.col("n_anomalies")
     wide = x.cast("decimal(20,0)")
 
-    def columns(w: WindowSpec) -> dict[str, Column]:
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         last = w.rowsBetween(-buckets, 0)
-        return {"z": z_score(x, F.count(F.lit(1)).over(last), F.sum(wide).over(last), F.sum(wide * wide).over(last))}
+        return df.withColumn("z", z_score(x, F.count(F.lit(1)).over(last), F.sum(wide).over(last),
+                                          F.sum(wide * wide).over(last)))
 
-    return over_series(series, by, "bucket_start", buckets, columns, chunk_rows).where(F.col("z") > z)
+    return over_series(series, by, "bucket_start", buckets, compute, chunk_rows).where(F.col("z") > z)
 
 
 def alert_examples(scored: DataFrame, threshold: Column | float, limit: int, k: int, bucket: str = "hour",

@@ -7,28 +7,42 @@ not counted by row frames; ``frame="range"`` measures in minutes instead.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import BUCKET_SECONDS, bucket_start, epoch_seconds
 from ..functions.score import ratio, z_score
 from .joins import attach
-from .windows import over_series
+from .windows import over_series, running_sums
 
 VELOCITY_BUCKETS, LAG_BUCKETS, SURGE_BUCKETS, SURGE_Z = 10, 10, 60, 3.0
+PIECE_BUCKETS = 20_000
+
 
+def _features(df: DataFrame, w: WindowSpec, before: Callable[[str, int], Column], then_rate: Column) -> DataFrame:
+    """The context columns. ``before(c, n)`` is the running column ``c`` just ahead of the last n buckets.
 
-def _features(frame10, frame61, lagged: Column) -> dict[str, Column]:
-    """The three context columns over given frames; the counts are whole numbers, so sums are exact."""
+    Counts are whole numbers, so differences of running sums are exact.
+    """
     x = F.col("total_reqs")
     wide = x.cast("decimal(20,0)")
-    z = z_score(x, F.count(F.lit(1)).over(frame61), F.sum(wide).over(frame61), F.sum(wide * wide).over(frame61))
-    return {
-        "throughput_velocity": ratio(x, F.avg(x).over(frame10)),
-        "error_acceleration": ratio("error_rate", lagged),
+    run = running_sums(df, w, _x=x, _q=wide * wide)
+
+    def last(c: str, n: int) -> Column:
+        return F.col(c) - F.coalesce(before(c, n), F.lit(0))
+
+    short, long = VELOCITY_BUCKETS, SURGE_BUCKETS + 1
+    totals = run.withColumns({"_n10": last("_i", short), "_x10": last("_x", short), "_n61": last("_i", long),
+                              "_x61": last("_x", long), "_q61": last("_q", long), "_then": then_rate})
+    z = z_score(x, F.col("_n61"), F.col("_x61").cast("decimal(20,0)"), F.col("_q61"))
+    return totals.withColumns({
+        "throughput_velocity": ratio(x, ratio("_x10", "_n10")),
+        "error_acceleration": ratio("error_rate", "_then"),
         "is_surge": F.when(z > SURGE_Z, 1).otherwise(0),
-        "has_baseline": F.coalesce(lagged > 0, F.lit(False)),
-    }
+        "has_baseline": F.coalesce(F.col("_then") > 0, F.lit(False)),
+    }).drop("_i", "_x", "_q", "_n10", "_x10", "_n61", "_x61", "_q61", "_then")
 
 
 def with_rates(merged: DataFrame) -> DataFrame:
@@ -47,9 +61,8 @@ def context(merged: DataFrame, frame: str = "rows", bucket: str = "minute",
     return over_series(rates, ["service_id"], "window_start", SURGE_BUCKETS, _row_features, chunk_rows)
 
 
-def _row_features(w: WindowSpec) -> dict[str, Column]:
-    return _features(w.rowsBetween(1 - VELOCITY_BUCKETS, 0), w.rowsBetween(-SURGE_BUCKETS, 0),
-                     F.lag("error_rate", LAG_BUCKETS).over(w))
+def _row_features(df: DataFrame, w: WindowSpec) -> DataFrame:
+    return _features(df, w, lambda c, n: F.lag(c, n).over(w), F.lag("error_rate", LAG_BUCKETS).over(w))
 
 
 def _range_context(rates: DataFrame, bucket: str) -> DataFrame:
@@ -59,16 +72,20 @@ def _range_context(rates: DataFrame, bucket: str) -> DataFrame:
     cut copied into the next piece.
     """
     step = BUCKET_SECONDS[bucket]
-    piece = step * 20_000
-    halo = step * SURGE_BUCKETS
+    piece = step * PIECE_BUCKETS
     t = rates.withColumn("_t", epoch_seconds("window_start"))
     own = F.floor(F.col("_t") / piece)
-    later = F.floor((F.col("_t") + halo) / piece)
+    later = F.floor((F.col("_t") + step * SURGE_BUCKETS) / piece)
     copies = t.withColumn("_own", own).withColumn("_piece", F.explode(F.sequence(own, later)))
     w = Window.partitionBy("service_id", "_piece").orderBy("_t")
-    lagged = F.max("error_rate").over(w.rangeBetween(-LAG_BUCKETS * step, -LAG_BUCKETS * step))
-    cols = _features(w.rangeBetween((1 - VELOCITY_BUCKETS) * step, 0), w.rangeBetween(-halo, 0), lagged)
-    return copies.withColumns(cols).where(F.col("_piece") == F.col("_own")).drop("_t", "_own", "_piece")
+
+    def before(c: str, n: int) -> Column:
+        # Running columns only grow, so the largest value up to a time is the latest.
+        return F.max(c).over(w.rangeBetween(Window.unboundedPreceding, -n * step))
+
+    then_rate = F.max("error_rate").over(w.rangeBetween(-LAG_BUCKETS * step, -LAG_BUCKETS * step))
+    out = _features(copies, w, before, then_rate)
+    return out.where(F.col("_piece") == F.col("_own")).drop("_t", "_own", "_piece")
 
 
 def filled(ctx: DataFrame) -> DataFrame:
@@ -94,12 +111,13 @@ def rolling_latency(logs: DataFrame, buckets: int = VELOCITY_BUCKETS, bucket: st
     sums = logs.groupBy("service_id", bucket_start("timestamp", bucket).alias("window_start")).agg(
         F.count(F.lit(1)).alias("total_reqs"), F.sum("response_time_ms").alias("latency_sum"))
 
-    def columns(w: WindowSpec) -> dict[str, Column]:
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         last = w.rowsBetween(1 - buckets, 0)
-        return {"avg_latency": ratio("latency_sum", "total_reqs"),
-                "rolling_latency": ratio(F.sum("latency_sum").over(last), F.sum("total_reqs").over(last))}
+        return df.withColumns({
+            "avg_latency": ratio("latency_sum", "total_reqs"),
+            "rolling_latency": ratio(F.sum("latency_sum").over(last), F.sum("total_reqs").over(last))})
 
-    return over_series(sums, ["service_id"], "window_start", buckets, columns, chunk_rows)
+    return over_series(sums, ["service_id"], "window_start", buckets, compute, chunk_rows)
 
 
 def seasonal_baseline(merged: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.score import z_score
 from ..functions.text import tokens
+from ..session import pinned, stored
 from .joins import attach
 
 
@@ -47,13 +48,13 @@ def rarity(df: DataFrame, category: str = "log_signature", target: str = "rarity
 def payload_score(df: DataFrame, key: str, text: str) -> DataFrame:
     """One number per message: mean ``-ln p`` of its words, p being a word's share of the corpus.
 
-    Words are counted per message first, so a common word meets its corpus count once per message, not
-    once per occurrence, and the common words are joined without a shuffle of their rows.
+    Words are counted per message first and that count is kept, so texts are read and split once. A common
+    word then meets its corpus count once per message, and without a shuffle of its rows.
     """
-    words = (df.select(key, F.explode(tokens(text)).alias("token"))
-               .groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
-    corpus = words.groupBy("token").agg(F.sum("n").alias("corpus_n"), F.count(F.lit(1)).alias("_messages"))
-    total = words.agg(F.sum("n").alias("t")).scalar()
+    words = stored(df.select(key, F.explode(tokens(text)).alias("token"))
+                     .groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
+    corpus = pinned(words.groupBy("token").agg(F.sum("n").alias("corpus_n"), F.count(F.lit(1)).alias("_messages")))
+    total = corpus.agg(F.sum("corpus_n").alias("t")).scalar()
     rows = attach(words, corpus, ["token"], weight="_messages")
     surprise = F.log(total / F.col("corpus_n"))
     return rows.groupBy(key).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from ..functions.clock import bucket_start
@@ -58,8 +58,13 @@ def retained(rolled: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> Da
 
 def write_partials(logs: DataFrame, root: str, batch_id: int, bucket: str = "minute") -> None:
     """Roll up one batch into its own folder. Writing the same batch again replaces it, so a replay is harmless."""
-    (rollup(logs, bucket).withColumn("event_date", F.col("window_start").cast("date"))
-        .write.mode("overwrite").partitionBy("event_date").parquet(f"{root}/batch_id={batch_id}"))
+    _by_day(rollup(logs, bucket)).mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+
+def _by_day(rolled: DataFrame) -> DataFrameWriter:
+    """Writer with one folder per day and few files in it."""
+    days = rolled.withColumn("event_date", F.col("window_start").cast("date")).hint("rebalance", "event_date")
+    return days.write.partitionBy("event_date")
 
 
 def backfill(logs: DataFrame, root: str, bucket: str = "minute") -> None:
@@ -80,5 +85,4 @@ def read_partials(spark: SparkSession, root: str, since: Column | None = None) -
 def compact_partials(spark: SparkSession, root: str, target: str) -> None:
     """Merge the partial counts of a store into a new one with a single batch folder."""
     merged = merge_partials(read_partials(spark, root), ("service_id", "window_start", "hour_of_day"))
-    (merged.select(*ROLLUP_SCHEMA.fieldNames()).withColumn("event_date", F.col("window_start").cast("date"))
-        .write.mode("errorifexists").partitionBy("event_date").parquet(f"{target}/batch_id={BACKFILL_BATCH}"))
+    _by_day(merged.select(*ROLLUP_SCHEMA.fieldNames())).parquet(f"{target}/batch_id={BACKFILL_BATCH}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..session import pinned
@@ -14,10 +14,10 @@ CHUNK_ROWS = 1_000_000
 
 
 def over_series(df: DataFrame, by: Sequence[str], order: str, halo: int,
-                columns: Callable[[WindowSpec], dict[str, Column]], chunk_rows: int | None = None) -> DataFrame:
-    """``df`` with columns computed over the series of each key, in the order of a timestamp that is unique in it.
+                compute: Callable[[DataFrame, WindowSpec], DataFrame], chunk_rows: int | None = None) -> DataFrame:
+    """``compute`` applied to the series of each key, in the order of a timestamp that is unique in it.
 
-    The frames may look at most ``halo`` rows back. The rows are computed once and counted; up to
+    A row may depend on itself and the ``halo`` rows before it. The rows are computed once and counted; up to
     CHUNK_ROWS of them a plain window does. Beyond that, series are cut into chunks computed apart, each
     with the ``halo`` rows before it for company. The result is the same. ``chunk_rows`` sets the length of
     chunks without a count; 0 says that the series are known to be short.
@@ -26,7 +26,7 @@ def over_series(df: DataFrame, by: Sequence[str], order: str, halo: int,
         df = pinned(df)
         chunk_rows = CHUNK_ROWS if df.count() > CHUNK_ROWS else 0
     if not chunk_rows:
-        return df.withColumns(columns(Window.partitionBy(*by).orderBy(order)))
+        return compute(df, Window.partitionBy(*by).orderBy(order))
     if chunk_rows < halo:
         raise ValueError(f"a chunk must hold {halo} rows at least")
 
@@ -43,5 +43,15 @@ def over_series(df: DataFrame, by: Sequence[str], order: str, halo: int,
     tail = F.col("_row") % chunk_rows >= chunk_rows - halo
     copies = numbered.withColumn("_own", own).withColumn(
         "_chunk", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))))
-    done = copies.withColumns(columns(Window.partitionBy(*by, "_chunk").orderBy(order)))
+    done = compute(copies, Window.partitionBy(*by, "_chunk").orderBy(order))
     return done.where(F.col("_chunk") == F.col("_own")).drop("_day", "_before", "_row", "_own", "_chunk")
+
+
+def running_sums(df: DataFrame, w: WindowSpec, **values) -> DataFrame:
+    """Adds the sum of each value from the start of the series, and ``_i``, the number of the row from 1.
+
+    A sum over the last n rows is the difference of two of these, at a cost that does not grow with n.
+    """
+    start = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {name: F.sum(value).over(start) for name, value in values.items()}
+    return df.withColumns({"_i": F.row_number().over(w), **sums})
