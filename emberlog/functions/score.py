@@ -22,12 +22,16 @@ def is_error(status: Column | str = "status_code") -> Column:
     return col(status) >= 500
 
 
-def z_score(x: Column | str, n: Column, total: Column, squares: Column) -> Column:
-    """Population z-score from the count, sum and sum of squares of whole numbers.
+def spread(n: Column | str, total: Column | str, squares: Column | str) -> Column:
+    """``n`` times the population standard deviation of whole numbers, from their sum and sum of squares.
 
-    ``n*x - sum`` over ``sqrt(n*squares - sum^2)`` is the usual (x - mean) / stddev with the divisions
-    cancelled. The parts are whole numbers, so the result does not depend on the order rows arrive in.
-    Null when all values are equal.
+    ``n*squares - total^2`` is a whole number, taken as a wide decimal, so the result does not depend
+    on the order rows arrive in and nothing overflows. Null when all numbers are equal.
     """
-    spread = F.sqrt((n * squares - total * total).cast("double"))
-    return (n * col(x) - total).cast("double") / F.nullif(spread, F.lit(0.0))
+    wide = col(total).cast("decimal(38,0)")
+    return F.nullif(F.sqrt((col(n) * col(squares) - wide * wide).cast("double")), F.lit(0.0))
+
+
+def z_score(x: Column | str, n: Column | str, total: Column | str, spread: Column | str) -> Column:
+    """(x - mean) / stddev with ``n`` cancelled; null without spread."""
+    return (col(n).cast("double") * col(x) - col(total).cast("double")) / col(spread)

@@ -17,12 +17,13 @@ SIGNATURE_PATTERN = r"^\[[^\]\[]+\]:\[[^\]\[]+\]:\[[^\]\[]+\]$"
 SIGNATURE_PREFIX = r"^(\[[^\]\[]+\]:\[[^\]\[]+\]:\[[^\]\[]+\])[ ]*"
 EXCEPTION_PATTERN = r"([A-Za-z0-9_]+(?:Exception|Error))"
 
-# Placeholders for the parts of a message that change from line to line, in order.
+# Placeholders for the parts of a message that change from line to line, in order. The last
+# entry is a text every match contains; looking for it first spares most messages the pattern.
 MASKS = (
-    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<email>"),
-    (r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", "<guid>"),
-    (r"0x[0-9a-fA-F]+", "<hex>"),
-    (r"[0-9]+", "<num>"),
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<email>", "@"),
+    (r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", "<guid>", "-"),
+    (r"0x[0-9a-fA-F]+", "<hex>", "0x"),
+    (r"[0-9]+", "<num>", ""),
 )
 
 # Error kinds, in the order they are tried. Substrings are matched in lower case.
@@ -58,9 +59,13 @@ def payload_rest(line: Column | str) -> Column:
     return F.regexp_replace(col(line), SIGNATURE_PREFIX, "")
 
 
-def mask_tokens(text: Column | str, masks: Sequence[tuple[str, str]] = MASKS) -> Column:
+def mask_tokens(text: Column | str, masks: Sequence[tuple[str, str, str]] = MASKS) -> Column:
     """Put placeholders in place of addresses, identifiers and numbers."""
-    return reduce(lambda c, m: F.regexp_replace(c, m[0], m[1]), masks, col(text))
+    out = col(text)
+    for pattern, placeholder, sign in masks:
+        masked = F.regexp_replace(out, pattern, placeholder)
+        out = F.when(F.contains(out, F.lit(sign)), masked).otherwise(out) if sign else masked
+    return out
 
 
 def endpoint_template(url: Column | str) -> Column:

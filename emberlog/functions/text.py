@@ -43,7 +43,7 @@ def payload_value(payload: Column | str, key: str) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """Lower-cased words of the whole text, split at white space."""
-    return F.filter(F.split(F.lower(col(text)), r"[ \t\r\n]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(col(text)), r"[ \t\r\n]+"), "")
 
 
 def vector_columns(vector: Column | str, size: int, prefix: str = "payload_emb_") -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import bucket_start
-from ..functions.score import z_score
+from ..functions.score import spread, z_score
 from .joins import attach
 from .rank import above
 from .windows import over_series
@@ -57,8 +57,10 @@ def zscore_alerts(series: DataFrame, buckets: int = 60, z: float = 3.0, by: Sequ
 
     def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         last = w.rowsBetween(-buckets, 0)
-        return df.withColumn("z", z_score(x, F.count(F.lit(1)).over(last), F.sum(wide).over(last),
-                                          F.sum(wide * wide).over(last)))
+        sums = df.withColumns({"_n": F.count(F.lit(1)).over(last), "_sum": F.sum(x).over(last),
+                               "_squares": F.sum(wide * wide).over(last)})
+        z = z_score(x, "_n", "_sum", spread("_n", "_sum", "_squares"))
+        return sums.withColumn("z", z).drop("_n", "_sum", "_squares")
 
     return over_series(series, by, "bucket_start", buckets, compute, chunk_rows).where(F.col("z") > z)
 

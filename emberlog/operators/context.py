@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import BUCKET_SECONDS, bucket_start, epoch_seconds
-from ..functions.score import ratio, z_score
+from ..functions.score import ratio, spread, z_score
 from .joins import attach
 from .windows import over_series, running_sums
 
@@ -36,7 +36,7 @@ def _features(df: DataFrame, w: WindowSpec, before: Callable[[str, int], Column]
     short, long = VELOCITY_BUCKETS, SURGE_BUCKETS + 1
     totals = run.withColumns({"_n10": last("_i", short), "_x10": last("_x", short), "_n61": last("_i", long),
                               "_x61": last("_x", long), "_q61": last("_q", long), "_then": then_rate})
-    z = z_score(x, F.col("_n61"), F.col("_x61").cast("decimal(20,0)"), F.col("_q61"))
+    z = z_score(x, "_n61", "_x61", spread("_n61", "_x61", "_q61"))
     return totals.withColumns({
         "throughput_velocity": ratio(x, ratio("_x10", "_n10")),
         "error_acceleration": ratio("error_rate", "_then"),

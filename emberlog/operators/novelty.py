@@ -6,22 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.score import z_score
+from ..functions.score import spread, z_score
 from ..functions.text import tokens
-from ..session import pinned, stored
-from .joins import attach
+from ..session import pinned
+from .joins import attach, fits_broadcast
 
 
 def outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[str] = ("service_id",),
                   digits: int = 6, target: str = "anomaly_score") -> DataFrame:
     """Population z-score of a whole-number column within its group; 0 where a group has no spread."""
     wide = F.col(value).cast("decimal(18,0)")
-    stats = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
+    sums = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(wide).alias("_sum"), F.sum(wide * wide).alias("_squares"))
-    rows = attach(df, stats.withColumn("_w", F.col("_n")), by, weight="_w")
-    z = z_score(F.col(value), F.col("_n"), F.col("_sum"), F.col("_squares"))
+    # Wide arithmetic once per group; rows need doubles only.
+    stats = sums.select(*by, "_n", "_sum", spread("_n", "_sum", "_squares").alias("_spread"), F.col("_n").alias("_w"))
+    rows = attach(df, stats, by, weight="_w")
+    z = z_score(value, "_n", "_sum", "_spread")
     score = F.when(F.col(value).isNotNull(), F.round(F.coalesce(z, F.lit(0.0)), digits))
-    return rows.withColumn(target, score).drop("_n", "_sum", "_squares")
+    return rows.withColumn(target, score).drop("_n", "_sum", "_spread")
 
 
 def new_signatures(now: DataFrame, history: DataFrame) -> DataFrame:
@@ -48,15 +50,19 @@ def rarity(df: DataFrame, category: str = "log_signature", target: str = "rarity
 def payload_score(df: DataFrame, key: str, text: str) -> DataFrame:
     """One number per message: mean ``-ln p`` of its words, p being a word's share of the corpus.
 
-    Words are counted per message first and that count is kept, so texts are read and split once. A common
-    word then meets its corpus count once per message, and without a shuffle of its rows.
+    The words of the corpus are counted with a combine on the map side. If the counts fit a broadcast, each
+    message is scored where it is read; otherwise words are counted per message before they are shuffled,
+    so a common word meets its corpus count once per message.
     """
-    words = stored(df.select(key, F.explode(tokens(text)).alias("token"))
-                     .groupBy(key, "token").agg(F.count(F.lit(1)).alias("n")))
-    corpus = pinned(words.groupBy("token").agg(F.sum("n").alias("corpus_n"), F.count(F.lit(1)).alias("_messages")))
-    total = corpus.agg(F.sum("corpus_n").alias("t")).scalar()
-    rows = attach(words, corpus, ["token"], weight="_messages")
-    surprise = F.log(total / F.col("corpus_n"))
+    words = df.select(key, F.explode(tokens(text)).alias("token"))
+    corpus = pinned(words.groupBy("token").agg(F.count(F.lit(1)).alias("corpus_n")))
+    if fits_broadcast(corpus):
+        words = words.withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        words = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    total = corpus.agg(F.sum("corpus_n").alias("t")).first()["t"] or 0
+    surprise = corpus.select("token", F.log(F.lit(total) / F.col("corpus_n")).alias("surprise"), "corpus_n")
+    rows = attach(words, surprise, ["token"], weight="corpus_n")
     return rows.groupBy(key).agg(
         F.sum("n").alias("n_tokens"),
-        (F.sum(F.col("n") * surprise) / F.sum("n")).alias("payload_anomaly_score"))
+        (F.sum(F.col("n") * F.col("surprise")) / F.sum("n")).alias("payload_anomaly_score"))
