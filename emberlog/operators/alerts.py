@@ -36,8 +36,8 @@ def sliding_counts(scored: DataFrame, threshold: Column | float, length: str = "
     """Rows above a threshold per sliding window; the same plan serves batches and streams."""
     w = F.window("timestamp", length, slide)
     counts = above(scored, threshold).groupBy(*by, w.alias("w")).agg(F.count(F.lit(1)).alias("n_anomalies"))
-    return counts.select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                         "n_anomalies")
+    edges = [F.col(f"w.{e}").cast("timestamp_ntz").alias(f"window_{e}") for e in ("start", "end")]
+    return counts.select(*by, *edges, "n_anomalies")
 
 
 def sliding_alerts(scored: DataFrame, threshold: Column | float, limit: int, **window) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts
@@ -51,6 +51,13 @@ def stream_scored(stream: DataFrame, root: str, sink: str, checkpoint: str, scor
     return _start(stream, handle, checkpoint, trigger)
 
 
+def with_event_time(stream: DataFrame, delay: str) -> DataFrame:
+    """``stream`` with a watermark, which Spark allows on zoned timestamps only. The session zone must be UTC."""
+    if stream.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError("set spark.sql.session.timeZone to UTC: log times carry no zone")
+    return stream.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
+
+
 def sliding_alerts(scored: DataFrame, threshold: float, limit: int, delay: str = "10 minutes", **window) -> DataFrame:
     """Alerts over sliding windows of a scored stream; rows later than ``delay`` are not counted any more."""
-    return alerts.sliding_alerts(scored.withWatermark("timestamp", delay), threshold, limit, **window)
+    return alerts.sliding_alerts(with_event_time(scored, delay), threshold, limit, **window)

@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.score import is_error
 from ..operators.context import LAG_BUCKETS, SURGE_BUCKETS, SURGE_Z, VELOCITY_BUCKETS
+from .live import with_event_time
 
 OUTPUT = ("service_id string, window_start timestamp_ntz, total_reqs bigint, error_reqs bigint, "
           "throughput_velocity double, error_acceleration double, is_surge int")
@@ -61,10 +63,11 @@ class ServiceContext(StatefulProcessor):
 
 def closed_buckets(logs: DataFrame, length: str = "1 minute", delay: str = "10 minutes") -> DataFrame:
     """One row per service and bucket, given out when the watermark has passed its end."""
-    counts = (logs.withWatermark("timestamp", delay)
-                  .groupBy("service_id", F.window("timestamp", length).alias("w"))
-                  .agg(F.count(F.lit(1)).alias("total_reqs"), F.count_if(F.col("status_code") >= 500).alias("error_reqs")))
-    return counts.select("service_id", F.col("w.start").alias("window_start"), "total_reqs", "error_reqs")
+    counts = (with_event_time(logs, delay)
+              .groupBy("service_id", F.window("timestamp", length).alias("w"))
+              .agg(F.count(F.lit(1)).alias("total_reqs"), F.count_if(is_error()).alias("error_reqs")))
+    start = F.col("w.start").cast("timestamp_ntz").alias("window_start")
+    return counts.select("service_id", start, "total_reqs", "error_reqs")
 
 
 def stream_context(buckets: DataFrame) -> DataFrame:
