@@ -41,9 +41,14 @@ def epoch_seconds(ts: Column | str) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def day_of_week(ts: Column | str) -> Column:
+    """0 on Monday to 6 on Sunday."""
+    return F.weekday(col(ts))
+
+
 def weekend_flag(ts: Column | str) -> Column:
     """1 on Saturday and Sunday (Monday counts as 0)."""
-    return F.when(F.weekday(col(ts)) >= 5, 1).otherwise(0)
+    return F.when(day_of_week(ts) >= 5, 1).otherwise(0)
 
 
 def seconds(n: int) -> Column:

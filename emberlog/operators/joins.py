@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from ..session import pinned
 
@@ -18,7 +18,8 @@ SALTS = 32
 
 def _bytes(df: DataFrame) -> Column:
     """Upper estimate of the broadcast size of a frame, from its own rows."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    strings = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    strings += [F.to_json(f.name) for f in df.schema.fields if isinstance(f.dataType, StructType)]
     width = 32 + 16 * len(df.columns)
     text = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in strings]
     return reduce(lambda a, b: a + b, text, F.count(F.lit(1)) * width)

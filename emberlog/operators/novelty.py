@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.score import spread, z_score
+from ..functions.score import ratio, spread, z_score
 from ..functions.text import tokens
 from ..session import pinned
 from .joins import attach, fits_broadcast
+from .quantiles import exact_quantiles
 
 
 def outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[str] = ("service_id",),
@@ -26,6 +27,18 @@ def outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[s
     return rows.withColumn(target, score).drop("_n", "_sum", "_spread")
 
 
+def robust_outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[str] = ("service_id",),
+                         digits: int = 6, target: str = "anomaly_score") -> DataFrame:
+    """Distance from the median of the group in units of its median absolute deviation; 0 without deviation."""
+    medians = exact_quantiles(df, value, {"_median": 0.5}, by)
+    off = attach(df, medians, by).withColumn("_off", F.col(value) - F.col("_median"))
+    spreads = exact_quantiles(off.withColumn("_off", F.abs("_off")), "_off", {"_mad": 0.5}, by)
+    score = F.coalesce(ratio("_off", "_mad"), F.lit(0.0))
+    rows = attach(off, spreads, by)
+    return rows.withColumn(target, F.when(F.col(value).isNotNull(), F.round(score, digits))).drop(
+        "_median", "_off", "_mad")
+
+
 def new_signatures(now: DataFrame, history: DataFrame) -> DataFrame:
     """(service, signature) pairs seen now and never in the history, with their counts."""
     keys = ["service_id", "log_signature"]

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources import contract
 
@@ -64,6 +67,26 @@ def probability(df: DataFrame, model: PipelineModel) -> DataFrame:
     return _with(df, model, anomaly_probability=vector_to_array("probability")[1])
 
 
+def cluster_distance(df: DataFrame, features: Sequence[str], k: int = 8, seed: int = SEED,
+                     target: str = "anomaly_score") -> DataFrame:
+    """Unsupervised score: distance to the centre of the row's cluster, features in units of their deviation.
+
+    Rows in dense regions lie near a centre; rows far from all of them are outliers. No label is used.
+    """
+    stages = [VectorAssembler(inputCols=list(features), outputCol="_raw"),
+              StandardScaler(inputCol="_raw", outputCol="_scaled"),
+              KMeans(featuresCol="_scaled", predictionCol="_cluster", k=k, seed=seed)]
+    fitted = Pipeline(stages=stages).fit(df.select(*features))
+    deviations, centres = fitted.stages[1].std, fitted.stages[2].clusterCenters()
+
+    def squared(j: int, name: str) -> Column:
+        mine = F.array(*[F.lit(float(c[j])) for c in centres])[F.col("_cluster")]
+        return F.pow(F.col(name) / F.lit(float(deviations[j]) or 1.0) - mine, 2)
+
+    distance = F.sqrt(reduce(add, [squared(j, name) for j, name in enumerate(features)]))
+    return _with(df, fitted, **{target: distance})
+
+
 def split(df: DataFrame, keys: Sequence[str], seed: int = SEED,
           percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
     """Training and test rows by a hash of their key, so a row stays on its side however the data is laid out."""

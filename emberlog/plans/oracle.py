@@ -181,6 +181,9 @@ ORACLE: dict[str, str] = {
         hour_of_day, service_id, endpoint, log_signature, is_anomaly FROM logs""",
     "training_frame_v1": f"""WITH {LOGS} SELECT status_code, response_time_ms, service_id, endpoint, user_agent,
         is_anomaly FROM logs""",
+    "calendar_features": f"""WITH {LOGS} SELECT event_id, hour_of_day,
+        CAST(isodow(timestamp) - 1 AS INTEGER) AS day_of_week, is_weekend,
+        least(1000, greatest(1, response_time_ms)) AS clamped_ms FROM logs""",
     "range_violations": f"""WITH {LOGS} SELECT
         count(*) FILTER (WHERE status_code NOT BETWEEN 0 AND 65535) AS status_code,
         count(*) FILTER (WHERE response_time_ms NOT BETWEEN 0 AND 4294967295) AS response_time_ms,
@@ -339,6 +342,10 @@ ORACLE: dict[str, str] = {
         round(sum(n * -ln(corpus_n / t)) / sum(n), 6) AS payload_anomaly_score
         FROM words JOIN corpus USING (token), total GROUP BY doc_id""",
     "outlier_zscore": f"WITH {SCORED} SELECT event_id, service_id, response_time_ms, anomaly_score FROM scored",
+    "outlier_mad": f"""WITH {LOGS}, m AS (SELECT service_id, median(response_time_ms) AS med,
+        mad(CAST(response_time_ms AS DOUBLE)) AS dev FROM logs GROUP BY 1)
+        SELECT event_id, service_id, response_time_ms, round(coalesce((response_time_ms - med) / nullif(dev, 0), 0), 6)
+        AS anomaly_score FROM logs JOIN m USING (service_id)""",
     "sigmoid_score": f"""WITH {SCORED} SELECT event_id, anomaly_score, round(1 / (1 + exp(-anomaly_score)), 6)
         AS probability FROM scored""",
     "anomaly_series": f"""WITH {SCORED} SELECT date_trunc('hour', timestamp) AS bucket_start, count(*) AS n_anomalies

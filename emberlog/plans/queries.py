@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import score as sc, signature as sig, text
-from ..functions.clock import in_range
+from ..functions.clock import day_of_week, in_range
 from ..operators import alerts, context, evaluate, labels, novelty, rank, rollup, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
@@ -78,6 +78,14 @@ def training_frame_v1(spark, d):
     return contract.training_frame(events.logs(spark, d), version=1)
 
 
+@query
+def calendar_features(spark, d):
+    df = events.logs(spark, d)
+    clamped = F.least(F.lit(whatif.NORMAL_MS[1]), F.greatest(F.lit(whatif.NORMAL_MS[0]), F.col("response_time_ms")))
+    return df.select("event_id", "hour_of_day", day_of_week("timestamp").alias("day_of_week"), "is_weekend",
+                     clamped.cast("bigint").alias("clamped_ms"))
+
+
 @query
 def range_violations(spark, d):
     return contract.range_violations(events.logs(spark, d))
@@ -536,6 +544,12 @@ def outlier_zscore(spark, d):
     return scored_logs(spark, d).select("event_id", "service_id", "response_time_ms", "anomaly_score")
 
 
+@query
+def outlier_mad(spark, d):
+    df = novelty.robust_outlier_score(events.logs(spark, d))
+    return df.select("event_id", "service_id", "response_time_ms", "anomaly_score")
+
+
 @query
 def sigmoid_score(spark, d):
     df = scored_logs(spark, d).select("event_id", "anomaly_score", sc.sigmoid("anomaly_score").alias("probability"))
@@ -625,6 +639,12 @@ def gbt_probability(spark, d):
     return model.probability(test.select("event_id", *contract.FEATURES_V1, "is_anomaly"), fitted)
 
 
+@query
+def cluster_distance(spark, d):
+    rows = view.scored_context(events.logs(spark, d), bucket="hour").select("event_id", *contract.NUMERIC_V2)
+    return model.cluster_distance(pinned(rows), contract.NUMERIC_V2)
+
+
 # --- streams --------------------------------------------------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from . import contract
@@ -47,16 +47,19 @@ def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
-def append(df: DataFrame, path: str, time_column: str = "timestamp", keys: tuple[str, ...] = ("service_id",)) -> None:
-    """Append rows to a Parquet folder with one sub-folder per day.
+def append(df: DataFrame, path: str, time_column: str = "timestamp", keys: tuple[str, ...] = ("service_id",)) -> int:
+    """Append rows to a Parquet folder with one sub-folder per day; gives back how many.
 
     Rebalancing gives each day its own tasks, splits a day that holds most rows over many and merges
     small ones. Sorting inside a task keeps the min/max of row groups narrow.
     """
-    (df.withColumn("event_date", F.col(time_column).cast("date"))
+    written = Observation()
+    (df.observe(written, F.count(F.lit(1)).alias("n"))
+       .withColumn("event_date", F.col(time_column).cast("date"))
        .hint("rebalance", "event_date")
        .sortWithinPartitions("event_date", *keys, time_column)
        .write.mode("append").partitionBy("event_date").parquet(path))
+    return written.get["n"]
 
 
 def read_logs(spark: SparkSession, path: str, schema: StructType = contract.V2_SCHEMA,
@@ -70,9 +73,9 @@ def read_logs(spark: SparkSession, path: str, schema: StructType = contract.V2_S
     return df.select(*schema.fieldNames())
 
 
-def export_anomalies(scored: DataFrame, path: str, threshold: float) -> None:
-    """Append rows that score above a threshold to a Parquet folder by day."""
-    append(scored.where(F.col("anomaly_score") > threshold), path)
+def export_anomalies(scored: DataFrame, path: str, threshold: float) -> int:
+    """Append rows that score above a threshold to a Parquet folder by day; gives back how many."""
+    return append(scored.where(F.col("anomaly_score") > threshold), path)
 
 
 def drop_days_before(spark: SparkSession, name: str, day: str) -> None:

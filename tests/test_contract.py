@@ -67,8 +67,8 @@ def test_table_life(spark):
 def test_append_reads_back_whole_and_prunes_days(spark, tmp_path):
     path = str(tmp_path / "logs")
     rows = [log(ts=BASE.replace(day=1 + i % 3), service=f"s{i}") for i in range(30)]
-    tables.append(logs(spark, rows), path)
-    tables.append(logs(spark, rows[:5]), path)
+    assert tables.append(logs(spark, rows), path) == 30
+    assert tables.append(logs(spark, rows[:5]), path) == 5
     assert tables.read_logs(spark, path).count() == 35
     day = tables.read_logs(spark, path, start="2025-03-02 00:00:00", end="2025-03-03 00:00:00")
     assert {r.timestamp.day for r in day.collect()} == {2}
@@ -79,5 +79,5 @@ def test_append_reads_back_whole_and_prunes_days(spark, tmp_path):
 def test_export_keeps_only_high_scores(spark, tmp_path):
     df = logs(spark, [log(ms=2), log(ms=1)]).withColumn("anomaly_score", F.col("response_time_ms").cast("double"))
     path = str(tmp_path / "out")
-    tables.export_anomalies(df, path, 1.0)
+    assert tables.export_anomalies(df, path, 1.0) == 1
     assert [r.anomaly_score for r in spark.read.parquet(path).collect()] == [2.0]

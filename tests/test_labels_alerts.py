@@ -84,6 +84,12 @@ def test_outlier_score_of_equal_values_is_zero(spark):
     assert [r.anomaly_score for r in novelty.outlier_score(df).collect()] == [0.0, 0.0, -1.0, 1.0, None]
 
 
+def test_robust_score(spark):
+    df = logs(spark, [log(ms=m) for m in (1, 2, 3, 4, 100)] + [log(service="b", ms=7)])
+    assert [r.anomaly_score for r in novelty.robust_outlier_score(df).orderBy("service_id", "response_time_ms").collect()] == [
+        0.0, -2.0, -1.0, 0.0, 1.0, 97.0]
+
+
 def test_new_signatures(spark):
     old = logs(spark, [log(signature="x"), log(service="b", signature="y")])
     now = logs(spark, [log(signature="x"), log(signature="y"), log(signature="y", ts=BASE + timedelta(minutes=1))])

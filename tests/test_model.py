@@ -97,3 +97,10 @@ def test_a_harmless_burst_does_not_alert(logs, trained):
     scored = view.score_v2(burst, ru.buckets(burst, "hour"), fitted, bucket="hour")
     row = evaluate.max_score(scored, start, end).first()
     assert row["n"] > 100 and row["max_score"] <= 0.5
+
+
+def test_far_rows_score_high_without_labels(spark):
+    dense = [(i, 200 if i % 2 else 500, 100 + i % 3) for i in range(200)]
+    df = spark.createDataFrame(dense + [(-1, 350, 101)], "event_id int, status_code int, response_time_ms int")
+    scored = ml.cluster_distance(df, ["status_code"], k=2)
+    assert scored.count() == 201 and scored.orderBy(F.desc("anomaly_score")).first().event_id == -1

@@ -5,7 +5,7 @@ import pytest
 
 from emberlog.operators.quantiles import exact_quantiles
 
-PROBS = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p51": 0.51, "p90": 0.9, "p99": 0.99, "p100": 1.0}
+PROBS = {"p50": 0.5, "p0": 0.0, "p10": 0.1, "p51": 0.51, "p90": 0.9, "p99": 0.99, "p100": 1.0}
 
 
 def values(kind, n, rng):
@@ -16,22 +16,27 @@ def values(kind, n, rng):
     return [rng.uniform(-5, 5) for _ in range(n)]
 
 
-@pytest.mark.parametrize("kind", ["ties", "skewed", "uniform"])
-@pytest.mark.parametrize("n,accuracy", [(1, 100), (2, 100), (11, 100), (1000, 100_000), (5000, 100), (5000, 50)])
-def test_global(spark, kind, n, accuracy):
+CASES = [(kind, 5000, 100, 3) for kind in ("ties", "skewed", "uniform")]
+CASES += [("uniform", n, 100, 1) for n in (1, 2, 11)] + [("skewed", 5000, 50, 1), ("skewed", 1000, 10_000, 64)]
+
+
+@pytest.mark.parametrize("kind,n,accuracy,sketches", CASES)
+def test_global(spark, kind, n, accuracy, sketches):
     xs = values(kind, n, random.Random(n))
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "v double")
-    row = exact_quantiles(df, "v", PROBS, accuracy=accuracy).first().asDict()
+    # Sorted input makes the heaps as unlike each other as can be.
+    df = df.repartitionByRange(8, "v")
+    row = exact_quantiles(df, "v", PROBS, accuracy=accuracy, sketches=sketches).first().asDict()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(float(np.percentile(xs, 100 * p)), rel=1e-12, abs=1e-12), name
 
 
-@pytest.mark.parametrize("accuracy", [50, 100_000])
+@pytest.mark.parametrize("accuracy", [50, 10_000])
 def test_by_group_with_one_big_group(spark, accuracy):
     rng = random.Random(1)
     rows = [("big", x) for x in values("skewed", 4000, rng)] + [(f"g{i % 7}", float(i)) for i in range(200)]
     rows += [("one", 3.0)]
-    out = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), "v", PROBS, by=["g"], accuracy=accuracy)
+    out = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), "v", PROBS, by=["g"], accuracy=accuracy, sketches=4)
     got = {r.g: r.asDict() for r in out.collect()}
     assert set(got) == {g for g, _ in rows}
     for g in got:
@@ -43,3 +48,8 @@ def test_by_group_with_one_big_group(spark, accuracy):
 def test_no_values_gives_null(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert [r.p for r in exact_quantiles(df, "v", {"p": 0.5}).collect()] == [None]
+
+
+def test_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
+    assert {r.g: r.p for r in exact_quantiles(df, "v", {"p": 0.5}, by=["g"]).collect()} == {None: 2.0, "a": 5.0}
