@@ -13,6 +13,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembl
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import stored
 from ..sources import contract
 
 # Training parameters of the contract.
@@ -37,13 +38,18 @@ def train(df: DataFrame, numeric: Sequence[str] = tuple(contract.NUMERIC_V2),
     """Fit binary boosted trees. Categories go in as such, not one-hot.
 
     A tree can tell ``max_bins`` categories apart, so the most frequent ones get an index of their own and
-    at most that many values ever reach the driver.
+    at most that many values ever reach the driver. The training columns are written once, as every pass
+    below reads them again; a small input is spread over all cores.
     """
-    indexers = [_indexer(df, c, max_bins - 2) for c in categorical]
+    rows = stored(df.select(*numeric, *categorical, target))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    indexers = [_indexer(rows, c, max_bins - 2) for c in categorical]
     assembler = VectorAssembler(inputCols=[*numeric, *[c + _INDEX for c in categorical]], outputCol=_VECTOR)
     trees = GBTClassifier(featuresCol=_VECTOR, labelCol=target, maxIter=rounds, stepSize=rate, seed=seed,
                           maxDepth=depth, maxBins=max_bins)
-    return Pipeline(stages=[*indexers, assembler, trees]).fit(df.select(*numeric, *categorical, target))
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
+    return Pipeline(stages=[*indexers, assembler, trees]).fit(rows)
 
 
 def features_of(model: PipelineModel) -> list[str]:

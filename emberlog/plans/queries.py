@@ -622,7 +622,7 @@ def _adaptive(spark, d):
     logs = events.logs(spark, d)
     rolled = pinned(rollup.buckets(logs, "hour"))
     train, _ = model.split(view.training_events(logs, rolled, "hour", keep=("event_id",)), ["event_id"])
-    return logs, rolled, model.train(pinned(train), rounds=GBT_ROUNDS)
+    return logs, rolled, model.train(train, rounds=GBT_ROUNDS)
 
 
 @query

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from ..functions import clock, signature as sig
 from . import contract
 
+SEPARATOR = "\u0001"
+
 
 def apply_mapping(df: DataFrame, mapping: Mapping[str, Column | str], keep: Sequence[str] = ()) -> DataFrame:
     """Envelope columns by name, each from a native column or an expression; ``keep`` is carried along."""
@@ -25,10 +27,16 @@ def from_json_logs(df: DataFrame, schema: StructType, mapping: Mapping[str, Colu
 
 def from_text_logs(df: DataFrame, pattern: str, fields: Sequence[str], mapping: Mapping[str, Column | str],
                    line: str = "value") -> DataFrame:
-    """Parse text lines with one pattern; its groups become ``fields``. Lines that do not match are kept out."""
+    """Parse text lines with a pattern that spans a line; its groups become ``fields``.
+
+    Lines that do not match are kept out. All groups are taken in one match: put side by side with a
+    separator, then split. Only the last field may hold the separator itself.
+    """
     hits = df.where(F.col(line).rlike(pattern))
-    groups = [F.regexp_extract(line, pattern, i + 1).alias(f) for i, f in enumerate(fields)]
-    return apply_mapping(hits.select(*groups), mapping)
+    groups = SEPARATOR.join(f"${i + 1}" for i in range(len(fields)))
+    parts = F.split(F.regexp_replace(line, pattern, groups), SEPARATOR, len(fields))
+    return apply_mapping(hits.select(parts.alias("p")).select(*[F.col("p")[i].alias(f) for i, f in enumerate(fields)]),
+                         mapping)
 
 
 def derived(df: DataFrame) -> DataFrame:
