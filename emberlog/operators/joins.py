@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructType
 
 from ..session import pinned
 
@@ -30,6 +30,15 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return df.agg(_bytes(df).alias("b")).first()["b"] <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def _scatter(df: DataFrame) -> Column:
+    """A hash that spreads rows, also copies of one row, as these lie in many partitions.
+
+    It depends on nothing that changes when a lost task runs again.
+    """
+    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*columns, F.spark_partition_id())
+
+
 def attach(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str | None = None,
            limit: int | None = None) -> DataFrame:
     """``left`` with the columns of ``right``, whose keys are unique; every left row stays once.
@@ -57,8 +66,7 @@ def attach(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str | N
 
     marked = left.join(F.broadcast(hot.select(*on, fields.alias("_hot"))), on, "left")
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    scatter = F.xxhash64(*left.columns)
-    marked = marked.withColumn("_spread", F.when(F.col("_hot").isNotNull() | no_key, scatter))
+    marked = marked.withColumn("_spread", F.when(F.col("_hot").isNotNull() | no_key, _scatter(left)))
     # Zero marks the rows to look up; a scattered row never meets it because its low bit is set.
     marked = marked.withColumn("_spread", F.coalesce(F.col("_spread").bitwiseOR(F.lit(1)), F.lit(0)))
     rest = right.select(*on, F.lit(0).cast("bigint").alias("_spread"), fields.alias("_cold"))
@@ -80,7 +88,7 @@ def attach_range(left: DataFrame, spans: DataFrame, on: Sequence[str], ts: str,
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         right = spans.withColumn("_salt", salts)
-        rows = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
+        rows = left.withColumn("_salt", F.pmod(_scatter(left), F.lit(SALTS)).cast("int"))
         keys = [*keys, "_salt"]
     rows, right = rows.alias("l"), right.alias("r")
     cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]) & inside

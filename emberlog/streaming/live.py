@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,13 +37,18 @@ def stream_scored(stream: DataFrame, root: str, sink: str, checkpoint: str, scor
                   trigger: dict | None = None) -> StreamingQuery:
     """Roll up each micro-batch, then score its rows against everything rolled up so far.
 
-    ``since`` bounds how far back buckets are read. Scored rows of batch N go to ``batch_id=N``.
+    ``since`` bounds how far back buckets are read; without it, that is the retention time before the first row
+    of the batch. Scored rows of batch N go to ``batch_id=N``.
     """
     def handle(batch: DataFrame, n: int) -> None:
         rows = batch.persist()
         try:
+            first = rows.agg(F.min("timestamp").alias("t")).first()["t"]
+            if first is None:
+                return
+            back = F.lit(first - timedelta(days=ru.RETENTION_DAYS)).cast("timestamp_ntz") if since is None else since
             ru.write_partials(rows, root, n, bucket)
-            seen = ru.read_partials(batch.sparkSession, root, since).where(f"batch_id <= {n}")
+            seen = ru.read_partials(batch.sparkSession, root, back).where(F.col("batch_id") <= n)
             context = view.scored_context(rows, ru.merge_partials(seen), bucket)
             scorer(context).write.mode("overwrite").parquet(f"{sink}/batch_id={n}")
         finally:

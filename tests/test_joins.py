@@ -54,3 +54,12 @@ def test_attach_range_against_brute_force(spark, limit):
                        spark.createDataFrame(spans, "k string, s int, e int"), ["k"], "t", "s", "e", limit)
     want = [(i, k, t, int(any(k == kk and s <= t < e for kk, s, e in spans))) for i, k, t in left]
     assert sorted(map(tuple, out.collect())) == want
+
+
+def test_copies_of_one_row_are_spread_and_kept(spark):
+    left = spark.createDataFrame([("hot", 1)] * 400 + [(None, 1)] * 400, "k string, x int").repartition(8)
+    left = left.withColumn("extras", F.create_map(F.lit("a"), F.lit(1)))
+    out = attach(left, spark.createDataFrame([("hot", 7)], "k string, a int"), ["k"], limit=0)
+    assert {(r.k, r.a): r.n for r in out.groupBy("k", "a").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        ("hot", 7): 400, (None, None): 400}
+    assert left.select(joins._scatter(left).alias("s")).distinct().count() > 2

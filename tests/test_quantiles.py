@@ -31,8 +31,10 @@ def test_global(spark, kind, n, accuracy, sketches):
         assert row[name] == pytest.approx(float(np.percentile(xs, 100 * p)), rel=1e-12, abs=1e-12), name
 
 
-@pytest.mark.parametrize("accuracy", [50, 10_000])
-def test_by_group_with_one_big_group(spark, accuracy):
+@pytest.mark.parametrize("accuracy,limit", [(50, 64 << 20), (10_000, 64 << 20), (50, 0)])
+def test_by_group_with_one_big_group(spark, accuracy, limit, monkeypatch):
+    for module in ("joins", "quantiles"):
+        monkeypatch.setattr(f"emberlog.operators.{module}.BROADCAST_BYTES", limit)
     rng = random.Random(1)
     rows = [("big", x) for x in values("skewed", 4000, rng)] + [(f"g{i % 7}", float(i)) for i in range(200)]
     rows += [("one", 3.0)]
