@@ -64,6 +64,16 @@ def test_table_life(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_log_tables_are_created_once(spark):
+    names = (contract.LOGS_V1, contract.LOGS_V2, contract.ROLLUP_TABLE)
+    tables.ensure_log_tables(spark)
+    tables.ensure_log_tables(spark)
+    assert tables.exists(spark, *names)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    assert not tables.exists(spark, contract.LOGS_V1)
+
+
 def test_append_reads_back_whole_and_prunes_days(spark, tmp_path):
     path = str(tmp_path / "logs")
     rows = [log(ts=BASE.replace(day=1 + i % 3), service=f"s{i}") for i in range(30)]
