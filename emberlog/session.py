@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,16 +27,18 @@ def build_session(app: str = "emberlog", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``. Only a local session may fall back to a folder of its own."""
+    """The folder named in ``spark.checkpoint.dir``. A session whose one process is the driver may fall back to a folder of its own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     path = spark.sparkContext.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="emberlog-")
+    path = tempfile.mkdtemp(prefix="emberlog-")
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
