@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from emberlog.llm import decontaminate, packing, simhash_dedup, substring_dedup, suffix_dedup
+from emberlog.llm import decontaminate, packing, quality_classifier, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_simhash_near_dedup": simhash_dedup.op10_simhash_near_dedup,
 }
 

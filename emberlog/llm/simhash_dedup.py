@@ -51,13 +51,14 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp) for each row, the fingerprint as a signed long. Null texts have no words and get 0."""
+    """(doc_id, text_hash, fp) for each row, the fingerprint as a signed long. Null texts have no words and get 0."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, 1):
             prints = [fingerprint((t or "").encode(), width) for t in step.column(1).to_pylist()]
-            yield pa.record_batch([step.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            fp = pa.array(np.array(prints, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([step.column(0), step.column(2), fp], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -182,10 +183,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored).
+    """(doc_id, text_hash, fp, root, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored).
 
-    ``component_id`` is the smallest doc_id that a chain of links reaches, the row's own included. Texts without words,
-    null ones included, have fingerprint 0 and link like any other. Rows that repeat a doc_id each get a row. A null
+    ``text_hash`` is xxhash64 of the text; ``root`` is one of the component's fingerprints and names it.
+    ``component_id`` is the smallest doc_id that a chain of links reaches, the row's own included. Texts without words, null
+    ones included, have fingerprint 0 and link like any other. Rows that repeat a doc_id each get a row. A null
     doc_id counts as larger than all others, so a component of such rows alone has a null component_id. An empty table
     gives an empty result.
     """
@@ -194,8 +196,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     roots = components(links(distinct, distance))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
