@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from emberlog.llm import decontaminate, packing, quality_classifier, simhash_dedup, substring_dedup, suffix_dedup
+from emberlog.llm import decontaminate, packing, quality_classifier, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op6_warc": warc.op6_warc,
+    "op8_sharding": sharding.op8_sharding,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_simhash_near_dedup": simhash_dedup.op10_simhash_near_dedup,
 }
@@ -17,4 +19,5 @@ ORACLE = {
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_suffix_array_dedup": suffix_dedup.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
