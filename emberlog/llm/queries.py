@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emberlog.llm import decontaminate, packing, quality_classifier, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
+from emberlog.llm import decontaminate, packing, quality_classifier, quality_rules, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op6_warc": warc.op6_warc,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_sharding": sharding.op8_sharding,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_simhash_near_dedup": simhash_dedup.op10_simhash_near_dedup,
@@ -20,4 +21,5 @@ ORACLE = {
     "op2_suffix_array_dedup": suffix_dedup.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
 }
