@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from emberlog.llm import decontaminate, packing, quality_classifier, quality_rules, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
+from emberlog.llm import decontaminate, language_id, packing, quality_classifier, quality_rules, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op5_language_id": language_id.op5_language_id,
     "op6_warc": warc.op6_warc,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_sharding": sharding.op8_sharding,
