@@ -13,8 +13,9 @@ from pyspark.sql import Column, functions as F
 from .clock import col
 
 # The three-part signature grammar, and the same grammar at the head of a raw line.
-SIGNATURE_PATTERN = r"^\[[^\]\[]+\]:\[[^\]\[]+\]:\[[^\]\[]+\]$"
-SIGNATURE_PREFIX = r"^(\[[^\]\[]+\]:\[[^\]\[]+\]:\[[^\]\[]+\])[ ]*"
+SIGNATURE_PATTERN = r"^\[[^\]]+\]:\[[^\]]+\]:\[[^\]]+\]$"
+SIGNATURE_PREFIX = r"^(\[[^\]]+\]:\[[^\]]+\]:\[[^\]]+\])[ ]*"
+FRAME_PATTERN = r"(?:^|[ \t\r\n])at ([A-Za-z0-9_.$<>]+)\("
 EXCEPTION_PATTERN = r"([A-Za-z0-9_]+(?:Exception|Error))"
 
 # Placeholders for the parts of a message that change from line to line, in order. The last
@@ -89,6 +90,12 @@ def exception_class(text: Column | str) -> Column:
     return F.when(found != "", found)
 
 
+def top_frame(text: Column | str) -> Column:
+    """The first call of a stack trace in the text, ``package.Class.method``, or null."""
+    found = F.regexp_extract(col(text), FRAME_PATTERN, 1)
+    return F.when(found != "", found)
+
+
 def error_kind(text: Column | str, exception: Column | str | None = None, status: Column | str | None = None,
                exceptions: Mapping[str, str] | None = None) -> Column:
     """Coarse category of an error: by exception class, then by substring, then by code; first match wins.
@@ -115,8 +122,9 @@ def error_kind(text: Column | str, exception: Column | str | None = None, status
 
 
 def outcome(status: Column | str, retried: Column | None = None, cancelled: Column | None = None) -> Column:
-    """SUCCESS, FAIL, RETRY or CANCELLED for jobs and calls that have no status of their own."""
+    """SUCCESS, FAIL, RETRY or CANCELLED for jobs and calls. RETRY comes from an explicit column only."""
     status = col(status)
     chain = F.when(cancelled if cancelled is not None else status == 499, "CANCELLED")
-    chain = chain.when(retried if retried is not None else status.isin(429, 503), "RETRY")
+    if retried is not None:
+        chain = chain.when(retried, "RETRY")
     return chain.when(status >= 400, "FAIL").otherwise("SUCCESS")

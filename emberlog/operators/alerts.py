@@ -26,9 +26,9 @@ def apply_thresholds(scored: DataFrame, thresholds: DataFrame, default: float) -
 
 def anomaly_series(scored: DataFrame, threshold: Column | float, bucket: str = "hour",
                    by: Sequence[str] = ()) -> DataFrame:
-    """Rows above a threshold per time bucket."""
-    return (above(scored, threshold).groupBy(*by, bucket_start("timestamp", bucket).alias("bucket_start"))
-            .agg(F.count(F.lit(1)).alias("n_anomalies")))
+    """Rows above a threshold per time bucket; a bucket with traffic but no such row counts zero."""
+    return (scored.groupBy(*by, bucket_start("timestamp", bucket).alias("bucket_start"))
+            .agg(F.count_if(F.col(SCORE) > threshold).alias("n_anomalies")))
 
 
 def sliding_counts(scored: DataFrame, threshold: Column | float, length: str = "10 minutes",

@@ -14,7 +14,7 @@ from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import BUCKET_SECONDS, bucket_start, epoch_seconds
 from ..functions.score import ratio, spread, z_score
-from .joins import attach
+from .joins import attach, attach_lazy
 from .windows import over_series, running_sums
 
 VELOCITY_BUCKETS, LAG_BUCKETS, SURGE_BUCKETS, SURGE_Z = 10, 10, 60, 3.0
@@ -97,12 +97,13 @@ def filled(ctx: DataFrame) -> DataFrame:
     })
 
 
-def attach_context(logs: DataFrame, ctx: DataFrame, bucket: str = "minute") -> DataFrame:
+def attach_context(logs: DataFrame, ctx: DataFrame, bucket: str = "minute", lazy: bool = False) -> DataFrame:
     """Log rows with the context of their bucket in place of the stored placeholders."""
     features = ["throughput_velocity", "error_acceleration", "is_surge"]
     rows = logs.drop(*features).withColumn("window_start", bucket_start("timestamp", bucket))
     right = ctx.select("service_id", "window_start", *features, "total_reqs")
-    return filled(attach(rows, right, ["service_id", "window_start"], weight="total_reqs")).drop("window_start")
+    join = attach_lazy if lazy else attach
+    return filled(join(rows, right, ["service_id", "window_start"], weight="total_reqs")).drop("window_start")
 
 
 def rolling_latency(logs: DataFrame, buckets: int = VELOCITY_BUCKETS, bucket: str = "minute",

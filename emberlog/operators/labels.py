@@ -54,20 +54,32 @@ def merged_spans(spans: DataFrame, on: Sequence[str], start: str, end: str) -> D
 
 
 def incident_label(logs: DataFrame, incidents: DataFrame, before: int, after: int,
-                   target: str = "is_anomaly", at: str = "start_at", until: str | None = "end_at") -> DataFrame:
+                   target: str = "is_anomaly", at: str = "start_at", until: str | None = "end_at",
+                   as_of: Column | None = None) -> DataFrame:
     """1 for rows of the same service from ``before`` seconds ahead of an incident to ``after`` past it.
 
-    Both ends count. ``until=None`` is for incidents known by one moment only.
+    Both ends count. ``until=None`` is for incidents known by one moment only. An incident without an end is
+    still open: it lasts until ``as_of``, which must be given if there may be such. Incidents that end before
+    they start label nothing; :func:`unusable_incidents` lists them.
     """
     tick = F.make_dt_interval(secs=F.lit(0.000001))
-    spans = incidents.select("service_id", (F.col(at) - seconds(before)).alias("_from"),
-                             (F.col(until or at) + seconds(after) + tick).alias("_to"))
+    end = F.col(until or at)
+    if until is not None:
+        still = as_of if as_of is not None else F.raise_error(F.lit("an open incident needs as_of")).cast("timestamp_ntz")
+        end = F.when(end.isNull() & F.col(at).isNotNull(), still).otherwise(end)
+    used = incidents.where(F.col(at).isNotNull() & F.col("service_id").isNotNull() & (end >= F.col(at)))
+    spans = used.select("service_id", (F.col(at) - seconds(before)).alias("_from"), (end + seconds(after) + tick).alias("_to"))
     cut = merged_spans(spans, ["service_id"], "_from", "_to")
     rows = logs.withColumn("slot", bucket_start("timestamp", SLOT))
     hit = attach_range(rows, cut, ["service_id", "slot"], "timestamp", "_from", "_to")
     return hit.drop("slot", target).withColumnRenamed("_hit", target)
 
 
+def unusable_incidents(incidents: DataFrame, at: str = "start_at", until: str = "end_at") -> DataFrame:
+    """Incidents without a service or a start, or with an end before it."""
+    return incidents.where(F.col("service_id").isNull() | F.col(at).isNull() | (F.col(until) < F.col(at)))
+
+
 def join_tags(logs: DataFrame, tags: DataFrame, on: Sequence[str], target: str = "tagged") -> DataFrame:
     """1 for rows an analyst tagged by trace or row key; several tags of one key count once."""
     flags = tags.select(*on).distinct().withColumn("_tag", F.lit(1))

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.score import ratio, spread, z_score
 from ..functions.text import tokens
-from ..session import pinned
-from .joins import attach, fits_broadcast
-from .quantiles import exact_quantiles
+from .joins import BROADCAST_BYTES, attach, measured
+from .quantiles import exact_quantiles, value_counts
 
 
 def outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[str] = ("service_id",),
@@ -29,12 +28,22 @@ def outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[s
 
 def robust_outlier_score(df: DataFrame, value: str = "response_time_ms", by: Sequence[str] = ("service_id",),
                          digits: int = 6, target: str = "anomaly_score") -> DataFrame:
-    """Distance from the median of the group in units of its median absolute deviation; 0 without deviation."""
-    medians = exact_quantiles(df, value, {"_median": 0.5}, by)
-    off = attach(df, medians, by).withColumn("_off", F.col(value) - F.col("_median"))
-    spreads = exact_quantiles(off.withColumn("_off", F.abs("_off")), "_off", {"_mad": 0.5}, by)
+    """Distance from the median of the group in units of its median absolute deviation; 0 without deviation.
+
+    Whole numbers are counted by value once, and both medians come from the counts, as long as these are few.
+    """
+    if (counts := value_counts(df, value, by)) is not None:
+        medians = counts.groupBy(*by).agg(F.percentile("_v", F.lit(0.5), F.col("_c")).alias("_median"), F.sum("_c").alias("_w"))
+        off = attach(counts, medians, by, weight="_w").withColumn("_d", F.abs(F.col("_v") - F.col("_median")))
+        stats = off.groupBy(*by).agg(F.max("_median").alias("_median"), F.percentile("_d", F.lit(0.5), F.col("_c")).alias("_mad"),
+                                     F.sum("_c").alias("_w"))
+        rows = attach(df, stats, by, weight="_w").withColumn("_off", F.col(value) - F.col("_median"))
+    else:
+        medians = exact_quantiles(df, value, {"_median": 0.5}, by)
+        off = attach(df, medians, by).withColumn("_off", F.col(value) - F.col("_median"))
+        spreads = exact_quantiles(off.withColumn("_off", F.abs("_off")), "_off", {"_mad": 0.5}, by)
+        rows = attach(off, spreads, by)
     score = F.coalesce(ratio("_off", "_mad"), F.lit(0.0))
-    rows = attach(off, spreads, by)
     return rows.withColumn(target, F.when(F.col(value).isNotNull(), F.round(score, digits))).drop(
         "_median", "_off", "_mad")
 
@@ -65,17 +74,18 @@ def payload_score(df: DataFrame, key: str, text: str) -> DataFrame:
 
     The words of the corpus are counted with a combine on the map side. If the counts fit a broadcast, each
     message is scored where it is read; otherwise words are counted per message before they are shuffled,
-    so a common word meets its corpus count once per message.
+    so a common word meets its corpus count once per message. A message without words, null or blank, has no
+    tokens and no score, but keeps its row.
     """
-    words = df.select(key, F.explode(tokens(text)).alias("token"))
-    corpus = pinned(words.groupBy("token").agg(F.count(F.lit(1)).alias("corpus_n")))
-    if fits_broadcast(corpus):
-        words = words.withColumn("n", F.lit(1).cast("bigint"))
+    words = df.select(key, F.explode_outer(tokens(text)).alias("token"))
+    corpus, size = measured(words.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("corpus_n")))
+    if size <= BROADCAST_BYTES:
+        words = words.withColumn("n", F.when(F.col("token").isNotNull(), 1).otherwise(0).cast("bigint"))
     else:
-        words = words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+        words = words.groupBy(key, "token").agg(F.count("token").alias("n"))
     total = corpus.agg(F.sum("corpus_n").alias("t")).first()["t"] or 0
     surprise = corpus.select("token", F.log(F.lit(total) / F.col("corpus_n")).alias("surprise"), "corpus_n")
-    rows = attach(words, surprise, ["token"], weight="corpus_n")
+    rows = attach(words, surprise, ["token"], weight="corpus_n", size=size)
     return rows.groupBy(key).agg(
         F.sum("n").alias("n_tokens"),
-        (F.sum(F.col("n") * F.col("surprise")) / F.sum("n")).alias("payload_anomaly_score"))
+        (F.sum(F.col("n") * F.col("surprise")) / F.nullif(F.sum("n"), F.lit(0))).alias("payload_anomaly_score"))

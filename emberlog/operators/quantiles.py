@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..session import pinned
 from .joins import BROADCAST_BYTES, attach, fits_broadcast
@@ -14,6 +15,17 @@ from .joins import BROADCAST_BYTES, attach, fits_broadcast
 ACCURACY = 10_000
 SKETCHES = 64
 BINS = 1_000
+FEW_VALUES = 1_000_000
+
+
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame | None:
+    """Pinned counts (by, _v, _c) of a whole-number column, or None if it is none or has many distinct values."""
+    if not isinstance(df.schema[value].dataType, IntegralType):
+        return None
+    seen = Observation()
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = pinned(counts.observe(seen, F.count(F.lit(1)).alias("n")))
+    return counts if seen.get["n"] <= FEW_VALUES else None
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
@@ -26,9 +38,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
        rows of a big group, are counted by value.
     3. The counts are added up in BINS slices per bracket, and only the slices that hold a wanted rank are sorted.
 
-    The answer is that of a full sort; a null group is a group like any other.
+    The answer is that of a full sort; a null group is a group like any other. Whole numbers with few distinct
+    values are counted by value, which needs no brackets.
     """
     ps = sorted(probs.values())
+    if (counts := value_counts(df, value, by)) is not None:
+        found = [F.percentile("_v", F.lit(p), F.col("_c")).cast("double").alias(name) for name, p in probs.items()]
+        return counts.groupBy(*by).agg(*found)
     group = F.struct(*by).alias("_g") if by else F.lit(0).alias("_g")
     rows = df.where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("_v"))
     edges = _edges(rows, ps, accuracy, sketches)

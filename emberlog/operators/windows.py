@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..session import pinned
@@ -23,8 +23,9 @@ def over_series(df: DataFrame, by: Sequence[str], order: str, halo: int,
     chunks without a count; 0 says that the series are known to be short.
     """
     if chunk_rows is None:
-        df = pinned(df)
-        chunk_rows = CHUNK_ROWS if df.count() > CHUNK_ROWS else 0
+        seen = Observation()
+        df = pinned(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        chunk_rows = CHUNK_ROWS if seen.get["n"] > CHUNK_ROWS else 0
     if not chunk_rows:
         return compute(df, Window.partitionBy(*by).orderBy(order))
     if chunk_rows < halo:

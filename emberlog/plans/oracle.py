@@ -104,9 +104,12 @@ WHERE {where}"""
 V2 = """event_id, timestamp, service_id, endpoint, status_code, response_time_ms, user_agent, hour_of_day, is_weekend,
 throughput_velocity, error_acceleration, is_surge, log_signature, log_payload, is_anomaly"""
 
+# Derived signatures carry the endpoint's template, which for these endpoints is the endpoint.
+TEMPLATED = "'[' || upper(service_id) || ']:[' || endpoint || ']:[' || (status_code // 100) || 'xx]'"
+
 ADAPTED = f"""WITH {LOGS}
 SELECT event_id, timestamp, service_id, endpoint, status_code, response_time_ms, user_agent, log_payload, hour_of_day,
-       is_weekend, log_signature,
+       is_weekend, {TEMPLATED} AS log_signature,
        CASE status_code WHEN 502 THEN 'DEPENDENCY_FAILURE' WHEN 503 THEN 'DEPENDENCY_FAILURE' WHEN 500 THEN 'UNEXPECTED'
             END AS error_kind,
        CASE WHEN status_code >= 500 THEN 'ERROR' ELSE 'INFO' END AS log_level
@@ -173,6 +176,8 @@ MASKED = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
   '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}', '<guid>', 'g'),
   '0x[0-9a-fA-F]+', '<hex>', 'g'), '[0-9]+', '<num>', 'g')"""
 
+PLACE = "CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 100"
+
 ORACLE: dict[str, str] = {
     "envelope_v2": f"WITH {LOGS} SELECT {V2} FROM logs",
     "envelope_v1": f"""WITH {LOGS} SELECT event_id, timestamp, service_id, endpoint, status_code, response_time_ms,
@@ -193,12 +198,27 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE is_anomaly NOT IN (0, 1)) AS is_anomaly FROM logs""",
     "json_adapter": ADAPTED,
     "text_adapter": ADAPTED,
-    # Two of the three formats carry no label, which then is 0.
-    "union_sources": f"""WITH {LOGS} SELECT * REPLACE (CASE WHEN service_id = 'svc-2' THEN is_anomaly ELSE 0 END
-        AS is_anomaly) FROM logs""",
+    # Two of the three formats carry no label, which then is unknown.
+    "union_sources": f"""WITH {LOGS} SELECT * REPLACE (CASE WHEN service_id = 'svc-2' THEN is_anomaly END AS is_anomaly,
+        CASE WHEN service_id = 'svc-2' THEN log_signature ELSE {TEMPLATED} END AS log_signature) FROM logs""",
+    "unlabelled_rows": f"""WITH {LOGS} SELECT CASE WHEN service_id <> 'svc-2' THEN 'none' ELSE CAST(is_anomaly AS VARCHAR) END AS what,
+        count(*) AS n FROM logs GROUP BY 1
+        UNION ALL SELECT 'training', count(*) FROM logs WHERE service_id = 'svc-2'""",
+    "adapter_rejects": """WITH f AS (SELECT unnest(['json', 'text']) AS format), k AS (
+        SELECT format, event_id, CASE event_id % 10 WHEN 3 THEN 'malformed'
+          WHEN 4 THEN 'bad value: ' || CASE format WHEN 'json' THEN 'status_code' ELSE 'event_id' END ELSE 'ok' END AS outcome FROM events, f)
+        SELECT format, outcome, count(*) AS n, count(*) AS lines_kept FROM k GROUP BY ALL""",
+    "derived_signatures": f"""WITH {LOGS}, s AS (SELECT CASE
+          WHEN status_code >= 500 AND event_id % 3 = 0 THEN 'PaymentException]:[shop.Pay.charge'
+          WHEN event_id % 3 = 2 THEN 'checkout]:[' || CASE WHEN status_code >= 500 THEN 'DEPENDENCY_FAILURE' ELSE '2xx' END
+          ELSE '/orders/*/items]:[' || (status_code // 100) || 'xx' END AS rest, service_id FROM logs)
+        SELECT '[' || upper(service_id) || ']:[' || rest || ']' AS log_signature, count(*) AS n FROM s GROUP BY ALL""",
     "mixed_versions": f"WITH {MIXED} SELECT * FROM mixed",
     "version_filter": f"WITH {MIXED} SELECT event_id, service_id, schema_version FROM mixed WHERE schema_version = 2",
     "append_readback": f"WITH {LOGS} SELECT {V2} FROM logs WHERE {BURST}",
+    "append_whole": f"WITH {LOGS} SELECT {V2}, (SELECT count(*) FROM events) AS written FROM logs",
+    "catalog_roundtrip": f"""WITH {LOGS} SELECT 15 AS columns, count(*) AS n, CAST(sum(response_time_ms) AS BIGINT) AS total_ms,
+        count(*) FILTER (WHERE is_anomaly = 1) AS n_bad, CAST(0 AS BIGINT) AS left, true AS there, true AS gone FROM logs""",
     "export_anomalies": f"""WITH {SCORED} SELECT event_id, timestamp, service_id, anomaly_score FROM scored
         WHERE anomaly_score > {HIGH}""",
     "rollup_minute": f"WITH {LOGS} {MINUTE_ROLLUP}",
@@ -214,6 +234,20 @@ ORACLE: dict[str, str] = {
     "context_range": f"WITH {LOGS} {HOUR_RANGE_CONTEXT} {CONTEXT_REPORT}",
     "scored_context": f"WITH {LOGS} {row_context('hour')} {context_view('hour')}",
     "scored_context_minute": f"WITH {LOGS} {row_context('minute')} {context_view('minute')}",
+    "live_view": f"WITH {LOGS} {row_context('minute')} {context_view('minute')}",
+    "training_events": f"""WITH {LOGS} {row_context('minute')}, v AS ({context_view('minute')})
+        SELECT event_id, status_code, response_time_ms, throughput_velocity, error_acceleration, hour_of_day, service_id, endpoint,
+               log_signature, is_anomaly FROM v""",
+    "split_rows": f"SELECT event_id, CASE WHEN {PLACE} < 80 THEN 'train' ELSE 'test' END AS side FROM events",
+    "model_quality": f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS null_scores, true AS good_f1 FROM events WHERE {PLACE} >= 80",
+    "model_roundtrip": "SELECT count(*) AS n, count(*) AS n_equal FROM events",
+    "model_record": """SELECT 'v2' AS version, 'status_code,response_time_ms,throughput_velocity,error_acceleration,hour_of_day,'
+        || 'service_id,endpoint,log_signature' AS features, 500 AS rounds, CAST(count(*) AS DOUBLE) AS n_rows FROM events""",
+    "burst_quiet": f"WITH {LOGS} SELECT 10 * count(*) AS n, true AS fast, true AS quiet FROM logs WHERE {BURST}",
+    "cluster_assign": f"""WITH {LOGS}, far AS (SELECT event_id, status_code, response_time_ms, unnest([0, 1, 2]) AS cluster,
+          sqrt(pow(status_code / 100.0 - unnest([2.0, 2.0, 5.0]), 2) + pow(response_time_ms / 1000.0 - unnest([0.5, 2.5, 1.0]), 2)) AS d FROM logs)
+        SELECT event_id, any_value(status_code) AS status_code, any_value(response_time_ms) AS response_time_ms,
+               CAST(arg_min(cluster, d + cluster * 1e-12) AS INTEGER) AS cluster, round(min(d), 6) AS distance FROM far GROUP BY event_id""",
     "scored_between": f"WITH {LOGS} {HOUR_RANGE_CONTEXT} {context_view('hour', BURST)}",
     "rolling_latency": f"""WITH {LOGS}, h AS (
         SELECT service_id, date_trunc('hour', timestamp) AS window_start, count(*) AS total_reqs,
@@ -240,7 +274,7 @@ ORACLE: dict[str, str] = {
     "precision_recall_f1": f"""WITH {SCORED}, c AS (SELECT {confusion(str(HIGH))} FROM scored)
         SELECT tp, fp, fn, tn, {RATES} FROM c""",
     "validation_report": f"""WITH {SCORED}, q AS (SELECT quantile_cont(anomaly_score, 0.9) AS t FROM scored),
-        c AS (SELECT count(*) AS sample_rows, count(*) - count(anomaly_score) AS null_scores,
+        c AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE is_anomaly IS NULL) AS n_unlabelled, count(*) - count(anomaly_score) AS null_scores,
           min(anomaly_score) AS min_score, max(anomaly_score) AS max_score, round(avg(anomaly_score), 6) AS avg_score,
           count(*) FILTER (WHERE is_anomaly = 0) AS n_0, min(anomaly_score) FILTER (WHERE is_anomaly = 0) AS min_score_0,
           max(anomaly_score) FILTER (WHERE is_anomaly = 0) AS max_score_0,
@@ -250,7 +284,7 @@ ORACLE: dict[str, str] = {
           round(avg(anomaly_score) FILTER (WHERE is_anomaly = 1), 6) AS avg_score_1,
           round(max(t), 6) AS threshold, {confusion('t')}
           FROM scored, q)
-        SELECT *, {RATES}, sample_rows AS total_rows FROM c""",
+        SELECT *, {RATES} FROM c""",
     "anomaly_ratio": f"""WITH {LOGS} SELECT service_id, count(*) AS n, count(*) FILTER (WHERE is_anomaly = 1)
         AS n_anomalies, round(avg(is_anomaly), 6) AS anomaly_ratio FROM logs GROUP BY service_id""",
     "count_parity": f"""WITH {SCORED} SELECT (SELECT count(*) FROM events) AS left_rows,
@@ -291,6 +325,9 @@ ORACLE: dict[str, str] = {
     "incident_labels": f"""WITH {LOGS} {row_context('hour')}, spans AS (
         SELECT service_id, window_start - INTERVAL 30 MINUTE AS lo, window_start + INTERVAL 30 MINUTE AS hi
         FROM ctx WHERE z > 3.000000001) {near('spans', 'is_anomaly')}""",
+    "open_incidents": f"""WITH {LOGS} {row_context('hour')}, spans AS (
+        SELECT service_id, window_start AS lo, CASE WHEN hour(window_start) % 2 = 0 THEN window_start + INTERVAL 1 HOUR
+          ELSE (SELECT max(ts) FROM events) END AS hi FROM ctx WHERE z > 3.000000001) {near('spans', 'is_anomaly')}""",
     "tag_labels": f"""WITH {LOGS} SELECT event_id, CASE WHEN event_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
         THEN 1 ELSE 0 END AS tagged FROM logs""",
     "tag_ranges": f"""WITH {LOGS}, spans AS (
@@ -309,7 +346,7 @@ ORACLE: dict[str, str] = {
         round(-ln(count(*) OVER (PARTITION BY service_id, log_signature) / count(*) OVER (PARTITION BY service_id)), 6)
         + 0.0 AS rarity FROM shifted""",
     "signature_check": fr"""WITH {LOGS} SELECT
-        regexp_full_match(log_signature, '\[[^\]\[]+\]:\[[^\]\[]+\]:\[[^\]\[]+\]') AS valid,
+        regexp_full_match(log_signature, '\[[^\]]+\]:\[[^\]]+\]:\[[^\]]+\]') AS valid,
         CAST(status_code // 100 AS VARCHAR) || 'xx' AS status_class, count(*) AS n FROM logs GROUP BY ALL""",
     "endpoint_template": r"""WITH p AS (
         SELECT page_id, regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^[a-zA-Z]+://[^/]*', '') AS path
@@ -324,9 +361,9 @@ ORACLE: dict[str, str] = {
     "payload_kv": f"""WITH {LOGS} SELECT event_id,
         CASE WHEN status_code < 500 THEN CAST(event_id AS VARCHAR) END AS rid,
         CASE WHEN status_code < 500 THEN 'ok' END AS msg FROM logs""",
-    "json_fields": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+    "json_fields": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "outcome_enum": f"""WITH {LOGS} SELECT service_id, CASE WHEN status_code = 499 THEN 'CANCELLED'
-        WHEN status_code IN (429, 503) THEN 'RETRY' WHEN status_code >= 400 THEN 'FAIL' ELSE 'SUCCESS' END AS outcome,
+        WHEN status_code >= 400 THEN 'FAIL' ELSE 'SUCCESS' END AS outcome,
         count(*) AS n FROM logs GROUP BY ALL""",
     "text_features": r"""SELECT doc_id,
         CAST(len(string_split(lower(text), 'timeout')) - 1 AS INTEGER) AS n_timeout,
@@ -341,6 +378,10 @@ ORACLE: dict[str, str] = {
     "payload_score": f"""WITH {WORDS} SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens,
         round(sum(n * -ln(corpus_n / t)) / sum(n), 6) AS payload_anomaly_score
         FROM words JOIN corpus USING (token), total GROUP BY doc_id""",
+    "payload_score_blanks": f"""WITH {WORDS.replace('FROM documents)', 'FROM documents WHERE doc_id % 50 NOT IN (7, 8, 9))')},
+        s AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, round(sum(n * -ln(corpus_n / t)) / sum(n), 6) AS payload_anomaly_score
+              FROM words JOIN corpus USING (token), total GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_tokens, 0) AS n_tokens, payload_anomaly_score FROM documents d LEFT JOIN s USING (doc_id)""",
     "outlier_zscore": f"WITH {SCORED} SELECT event_id, service_id, response_time_ms, anomaly_score FROM scored",
     "outlier_mad": f"""WITH {LOGS}, m AS (SELECT service_id, median(response_time_ms) AS med,
         mad(CAST(response_time_ms AS DOUBLE)) AS dev FROM logs GROUP BY 1)
@@ -348,16 +389,16 @@ ORACLE: dict[str, str] = {
         AS anomaly_score FROM logs JOIN m USING (service_id)""",
     "sigmoid_score": f"""WITH {SCORED} SELECT event_id, anomaly_score, round(1 / (1 + exp(-anomaly_score)), 6)
         AS probability FROM scored""",
-    "anomaly_series": f"""WITH {SCORED} SELECT date_trunc('hour', timestamp) AS bucket_start, count(*) AS n_anomalies
-        FROM scored WHERE anomaly_score > {HIGH} GROUP BY 1""",
+    "anomaly_series": f"""WITH {SCORED} SELECT date_trunc('hour', timestamp) AS bucket_start,
+        count(*) FILTER (WHERE anomaly_score > {HIGH}) AS n_anomalies FROM scored GROUP BY 1""",
     "sliding_alerts": f"""WITH {SCORED}, starts AS (
         SELECT service_id, date_trunc('hour', timestamp) - back AS window_start
         FROM scored, (SELECT unnest([INTERVAL 0 HOUR, INTERVAL 1 HOUR]) AS back) WHERE anomaly_score > {HIGH})
         SELECT service_id, window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n_anomalies
         FROM starts GROUP BY ALL HAVING count(*) >= 2""",
     "zscore_alerts": f"""WITH {SCORED}, s AS (
-        SELECT service_id, date_trunc('hour', timestamp) AS bucket_start, count(*) AS n_anomalies
-        FROM scored WHERE anomaly_score > {HIGH} GROUP BY ALL),
+        SELECT service_id, date_trunc('hour', timestamp) AS bucket_start,
+               count(*) FILTER (WHERE anomaly_score > {HIGH}) AS n_anomalies FROM scored GROUP BY ALL),
         z AS (SELECT *, (n_anomalies - avg(n_anomalies) OVER w) / nullif(stddev_pop(n_anomalies) OVER w, 0) AS z FROM s
         WINDOW w AS (PARTITION BY service_id ORDER BY bucket_start ROWS BETWEEN 60 PRECEDING AND CURRENT ROW))
         SELECT service_id, bucket_start, n_anomalies, round(z, 6) AS z FROM z WHERE z > 3.000000001""",
@@ -367,7 +408,9 @@ ORACLE: dict[str, str] = {
         SELECT *, date_trunc('hour', timestamp) AS bucket_start FROM scored WHERE anomaly_score > {HIGH}),
         r AS (SELECT service_id, bucket_start, count(*) OVER (PARTITION BY service_id, bucket_start) AS n_anomalies,
                 CAST(row_number() OVER (PARTITION BY service_id, bucket_start ORDER BY anomaly_score DESC, event_id)
-                     AS INTEGER) AS rank, event_id, log_signature, log_payload, anomaly_score FROM h)
+                     AS INTEGER) AS rank, event_id, log_signature, log_payload,
+                CASE status_code WHEN 502 THEN 'DEPENDENCY_FAILURE' WHEN 503 THEN 'DEPENDENCY_FAILURE' WHEN 500 THEN 'UNEXPECTED' END
+                AS error_kind, anomaly_score FROM h)
         SELECT * FROM r WHERE n_anomalies >= 3 AND rank <= 2""",
     "burst_whatif": f"""WITH {BURSTED} SELECT event_id, CAST(copy AS INTEGER) AS copy, timestamp, service_id,
         status_code, response_time_ms, is_anomaly FROM bursted""",

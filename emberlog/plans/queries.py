@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,7 +22,6 @@ QUERIES: dict[str, Query] = {}
 HIGH = 1.5  # fixed score threshold of the reports
 BURST = ("2024-01-02 12:00:00", "2024-01-02 16:00:00")
 SILENT = ("2024-01-03 08:00:00", "2024-01-03 12:00:00")
-GBT_ROUNDS = 10
 
 
 def query(fn: Query) -> Query:
@@ -116,18 +116,21 @@ def text_lines(df: DataFrame) -> DataFrame:
                                        c[4], F.lit(" "), c[5], F.lit("ms "), c[6], F.lit(" - "), c[7]).alias("value"))
 
 
-def _typed(names: dict[str, str]) -> dict[str, Column]:
-    return {c: F.col(f"`{n}`").cast(RAW_TYPES.get(c, "string")) for c, n in names.items()}
+def parse_json_lines(lines: DataFrame) -> DataFrame:
+    schema = StructType([StructField(n, StringType()) for n in JSON_FIELDS.values()])
+    return adapters.from_json_logs(lines, schema, {c: F.col(f"`{n}`") for c, n in JSON_FIELDS.items()}, RAW_TYPES)
+
+
+def parse_text_lines(lines: DataFrame) -> DataFrame:
+    return adapters.from_text_logs(lines, TEXT_LINE, TEXT_FIELDS, {f: f for f in TEXT_FIELDS}, RAW_TYPES)
 
 
 def read_json_lines(lines: DataFrame) -> DataFrame:
-    schema = StructType([StructField(n, StringType()) for n in JSON_FIELDS.values()])
-    return adapters.derived(adapters.from_json_logs(lines, schema, _typed(JSON_FIELDS)))
+    return adapters.derived(adapters.accepted(parse_json_lines(lines)))
 
 
 def read_text_lines(lines: DataFrame) -> DataFrame:
-    names = {f: f for f in TEXT_FIELDS}
-    return adapters.derived(adapters.from_text_logs(lines, TEXT_LINE, TEXT_FIELDS, _typed(names)))
+    return adapters.derived(adapters.accepted(parse_text_lines(lines)))
 
 
 @query
@@ -140,6 +143,44 @@ def text_adapter(spark, d):
     return read_text_lines(text_lines(events.logs(spark, d)))
 
 
+@query
+def adapter_rejects(spark, d):
+    """Lines in, rows out: what became of clean, cut and wrongly typed lines in both formats."""
+    logs = events.logs(spark, d)
+    number = F.regexp_extract("value", r"^(?:\{\"id\":\")?([0-9]+)", 1).cast("bigint") % 10
+    cut = F.when(number == 3, F.substring("value", 1, 12)).otherwise(F.col("value"))
+    text_ = text_lines(logs).withColumn("value", F.when(number == 4, F.regexp_replace("value", "^[0-9]+ ", "99999999999999999999 ")).otherwise(cut))
+    json_ = json_lines(logs).withColumn("value", F.when(number == 4, F.regexp_replace("value", '"code":"[0-9]+"', '"code":"abc"')).otherwise(cut))
+    parsed = [(kind, frame.select("parse_error", "raw_line")) for kind, frame in (("json", parse_json_lines(json_)), ("text", parse_text_lines(text_)))]
+    both = parsed[0][1].withColumn("format", F.lit("json")).unionByName(parsed[1][1].withColumn("format", F.lit("text")))
+    return both.groupBy("format", F.coalesce("parse_error", F.lit("ok")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("raw_line").alias("lines_kept"))
+
+
+@query
+def unlabelled_rows(spark, d):
+    """How many rows of the united sources lack a label, and how many the training frame takes."""
+    united = union_sources(spark, d)
+    counts = united.groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"))
+    trained = contract.training_frame(united).agg(F.count(F.lit(1)).alias("n")).select(F.lit("training").alias("what"), "n")
+    return counts.select(F.coalesce(F.col("is_anomaly").cast("string"), F.lit("none")).alias("what"), "n").unionByName(trained)
+
+
+@query
+def derived_signatures(spark, d):
+    """Signatures from raw rows whose endpoints carry ids and whose messages carry traces."""
+    logs = events.logs(spark, d)
+    third = F.pmod("event_id", F.lit(3))
+    raw = logs.select(
+        "event_id", "timestamp", "service_id", "status_code",
+        F.concat(F.lit("/orders/"), F.col("event_id").cast("string"), F.lit("/items")).alias("endpoint"),
+        F.when((F.col("status_code") >= 500) & (third == 0), F.concat(F.lit("PaymentException: "), F.col("event_id").cast("string"),
+                                                                     F.lit("\n\tat shop.Pay.charge(Pay.java:7)\n\tat shop.Main.run(Main.java:1)")))
+         .when(F.col("status_code") >= 500, F.lit("upstream failed")).otherwise(F.lit("ok")).alias("log_payload"),
+        F.when(third == 2, F.lit("checkout")).alias("operation"))
+    return adapters.derived(raw).groupBy("log_signature").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def union_sources(spark, d):
     """Three services, three formats: JSON lines, text lines and rows that fit already."""
@@ -174,6 +215,34 @@ def append_readback(spark, d):
     return tables.read_logs(spark, path, schema, *BURST)
 
 
+@query
+def append_whole(spark, d):
+    """Everything that was written is read back; the writer's own count stands beside it."""
+    path = fresh_dir(spark, "logs")
+    written = tables.append(events.logs(spark, d), path)
+    schema = StructType([StructField("event_id", contract.LONG)] + contract.V2_SCHEMA.fields)
+    return tables.read_logs(spark, path, schema).withColumn("written", F.lit(written).cast("bigint"))
+
+
+@query
+def catalog_roundtrip(spark, d):
+    """A table is created, listed, filled and emptied."""
+    name = f"logs_{uuid4().hex}"
+    for _ in range(2):  # the second time it is there already
+        tables.ensure_table(spark, name, contract.V2_SCHEMA, "timestamp")
+    columns = len(spark.table(name).columns)
+    tables.append_table(events.logs(spark, d).drop("event_id"), name, contract.V2_SCHEMA, "timestamp")
+    filled = tables.read_table(spark, name, contract.V2_SCHEMA).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("response_time_ms").alias("total_ms"), F.count_if(F.col("is_anomaly") == 1).alias("n_bad")).first()
+    there = tables.exists(spark, name)
+    tables.truncate(spark, name)
+    left = tables.read_table(spark, name, contract.V2_SCHEMA).count()
+    spark.sql(f"DROP TABLE {name}")
+    gone = not tables.exists(spark, name)
+    row = [(columns, filled["n"], filled["total_ms"], filled["n_bad"], left, there, gone)]
+    return spark.createDataFrame(row, "columns int, n bigint, total_ms bigint, n_bad bigint, left bigint, there boolean, gone boolean")
+
+
 @query
 def export_anomalies(spark, d):
     path = fresh_dir(spark, "export")
@@ -258,6 +327,20 @@ def scored_context_minute(spark, d):
     return _context_view(view.scored_context(events.logs(spark, d)))
 
 
+@query
+def live_view(spark, d):
+    """A view is made over the first rows of a table; the rest comes later, and the view knows their context."""
+    name = f"logs_{uuid4().hex}"
+    schema = StructType([StructField("event_id", contract.LONG)] + contract.V2_SCHEMA.fields)
+    tables.ensure_table(spark, name, schema, "timestamp", fresh_dir(spark, "live"))
+    logs, cut = events.logs(spark, d), at(BURST[0])
+    tables.append_table(logs.where(F.col("timestamp") < cut), name, schema, "timestamp")
+    view.anomaly_view(view.scored_context(spark.table(name).drop("event_date"), lazy=True), f"view_{name}")
+    seen = spark.table(f"view_{name}")
+    tables.append_table(logs.where(F.col("timestamp") >= cut), name, schema, "timestamp")
+    return _context_view(seen)
+
+
 @query
 def scored_between(spark, d):
     """Four hours of rows with time-true context; buckets are read from one halo before."""
@@ -426,6 +509,18 @@ def incident_labels(spark, d):
     return df.select("event_id", "timestamp", "service_id", "is_anomaly")
 
 
+@query
+def open_incidents(spark, d):
+    """Incidents are the surge hours; those of odd hours have no end yet and last until now."""
+    surges = context.context(hour_buckets(spark, d)).where(F.col("is_surge") == 1)
+    end = F.when(F.hour("window_start") % 2 == 0, F.col("window_start") + F.make_dt_interval(hours=F.lit(1)))
+    backwards = F.col("window_start") - F.make_dt_interval(hours=F.lit(9))
+    incidents = surges.select("service_id", F.col("window_start").alias("start_at"), end.alias("end_at"))
+    wrong = surges.select("service_id", F.col("window_start").alias("start_at"), backwards.alias("end_at"))
+    df = labels.incident_label(events.logs(spark, d), incidents.unionByName(wrong), 0, 0, as_of=now(spark, d))
+    return df.select("event_id", "timestamp", "service_id", "is_anomaly")
+
+
 @query
 def tag_labels(spark, d):
     """Analyst tags by row key: the label table, where toxic marks a bad row."""
@@ -510,7 +605,7 @@ def payload_kv(spark, d):
 @query
 def json_fields(spark, d):
     df = events.read(spark, d)
-    return df.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    return df.select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
 
 
 @query
@@ -539,6 +634,15 @@ def payload_score(spark, d):
     return rounded(novelty.payload_score(docs, "doc_id", "text"), "payload_anomaly_score")
 
 
+@query
+def payload_score_blanks(spark, d):
+    """Null, empty and blank messages keep their row."""
+    third = F.pmod("doc_id", F.lit(50))
+    blank = F.when(third == 7, F.lit(None)).when(third == 8, F.lit("")).when(third == 9, F.lit(" \t\n ")).otherwise(F.col("text"))
+    docs = events.read(spark, d, "documents").withColumn("text", blank)
+    return rounded(novelty.payload_score(docs, "doc_id", "text"), "payload_anomaly_score")
+
+
 @query
 def outlier_zscore(spark, d):
     return scored_logs(spark, d).select("event_id", "service_id", "response_time_ms", "anomaly_score")
@@ -581,9 +685,10 @@ def count_alert(spark, d):
 
 @query
 def alert_examples(spark, d):
-    df = alerts.alert_examples(scored_logs(spark, d), HIGH, limit=3, k=2)
+    scored = scored_logs(spark, d).withColumn("error_kind", sig.error_kind("log_payload", status="status_code"))
+    df = alerts.alert_examples(scored, HIGH, limit=3, k=2)
     return df.select("service_id", "bucket_start", "n_anomalies", "rank", "event_id", "log_signature", "log_payload",
-                     "anomaly_score")
+                     "error_kind", "anomaly_score")
 
 
 # --- what-if --------------------------------------------------------------------------------------------------------
@@ -610,39 +715,108 @@ def signature_shift_whatif(spark, d):
 
 # --- model ----------------------------------------------------------------------------------------------------------
 
+_MODELS: dict[tuple, str] = {}
+
+
+def trained(spark: SparkSession, d: str, version: int = 2) -> model.Fitted:
+    """The model of the contract, all rounds, trained once per session and table, then read from where it was saved."""
+    key = (spark.sparkContext.applicationId, d, version)
+    features = contract.FEATURES_V2 if version == 2 else contract.FEATURES_V1
+    if key not in _MODELS:
+        numeric, categorical = (contract.NUMERIC_V2, contract.CATEGORICAL_V2) if version == 2 else (contract.NUMERIC_V1, contract.CATEGORICAL_V1)
+        path = fresh_dir(spark, "model")
+        model.save(model.train(model.split(model_rows(spark, d), ["event_id"])[0], numeric, categorical), path)
+        _MODELS[key] = path
+    return model.load(spark, _MODELS[key], features)
+
+
+def model_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Log rows with computed context, as training and scoring take them."""
+    return view.scored_context(events.logs(spark, d))
+
+
 @query
 def gbt_scores_v1(spark, d):
     logs = events.logs(spark, d)
-    train, _ = model.split(logs, ["event_id"])
-    fitted = model.train(train, contract.NUMERIC_V1, contract.CATEGORICAL_V1, rounds=GBT_ROUNDS)
-    return model.score(logs.select("event_id", *contract.V1_SCHEMA.fieldNames()), fitted)
+    return model.score(logs.select("event_id", *contract.V1_SCHEMA.fieldNames()), trained(spark, d, 1))
 
 
-def _adaptive(spark, d):
+@query
+def gbt_scores_v2(spark, d):
     logs = events.logs(spark, d)
-    rolled = pinned(rollup.buckets(logs, "hour"))
-    train, _ = model.split(view.training_events(logs, rolled, "hour", keep=("event_id",)), ["event_id"])
-    return logs, rolled, model.train(train, rounds=GBT_ROUNDS)
+    return view.score_v2(logs, rollup.buckets(logs), trained(spark, d), keep=("event_id",))
 
 
 @query
-def gbt_scores_v2(spark, d):
-    logs, rolled, fitted = _adaptive(spark, d)
-    return view.score_v2(logs, rolled, fitted, keep=("event_id",), bucket="hour")
+def gbt_probability(spark, d):
+    return model.probability(model_rows(spark, d).select("event_id", *contract.FEATURES_V2, "is_anomaly"), trained(spark, d))
 
 
 @query
-def gbt_probability(spark, d):
+def training_events(spark, d):
     logs = events.logs(spark, d)
-    train, test = model.split(logs, ["event_id"])
-    fitted = model.train(train, contract.NUMERIC_V1, contract.CATEGORICAL_V1, rounds=GBT_ROUNDS)
-    return model.probability(test.select("event_id", *contract.FEATURES_V1, "is_anomaly"), fitted)
+    rows = view.training_events(logs, rollup.buckets(logs), keep=("event_id",))
+    return rounded(rows, "throughput_velocity", "error_acceleration")
+
+
+@query
+def split_rows(spark, d):
+    train, test = model.split(events.logs(spark, d), ["event_id"])
+    return train.select("event_id", F.lit("train").alias("side")).unionByName(test.select("event_id", F.lit("test").alias("side")))
+
+
+@query
+def model_quality(spark, d):
+    """The model on the rows held out."""
+    _, test = model.split(model_rows(spark, d), ["event_id"])
+    scored = pinned(model.score(test, trained(spark, d)))
+    f1 = evaluate.precision_recall_f1(evaluate.confusion(scored, 0.0)).select((F.col("f1") >= 0.90).alias("good_f1")).first()["good_f1"]
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("anomaly_score").isNull()).alias("null_scores")).withColumn("good_f1", F.lit(f1))
+
+
+@query
+def model_roundtrip(spark, d):
+    """Scores before and after a model is saved and loaded, row by row."""
+    fitted, path = trained(spark, d), fresh_dir(spark, "again")
+    model.save(fitted, path)
+    rows = pinned(model_rows(spark, d).select("event_id", *contract.FEATURES_V2))
+    a = model.score(rows, fitted).select("event_id", F.col("anomaly_score").alias("a"))
+    b = model.score(rows, model.load(spark, path)).select("event_id", F.col("anomaly_score").alias("b"))
+    return a.join(b, "event_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"))
+
+
+@query
+def model_record(spark, d):
+    path = fresh_dir(spark, "record")
+    model.record_model(spark, path, "v2", trained(spark, d), {"rows": float(events.read(spark, d).count())})
+    return spark.read.parquet(path).select("version", "features", "rounds", F.col("metrics")["rows"].alias("n_rows"))
+
+
+@query
+def burst_quiet(spark, d):
+    """A harmless burst of ten times the traffic is seen as such: high velocity, no alarm."""
+    burst = whatif.amplify(events.logs(spark, d), *span(BURST))
+    inside = in_range("window_start", *span(BURST))
+    hours = context.context(rollup.buckets(burst, "hour")).where(inside).agg((F.max("throughput_velocity") > 5.0).alias("fast"))
+    rows = view.scored_context(burst).where(in_range("timestamp", *span(BURST)))
+    quiet = model.score(rows, trained(spark, d)).agg(F.count(F.lit(1)).alias("n"), (F.max("anomaly_score") <= 0.5).alias("quiet"))
+    return quiet.withColumn("fast", F.lit(hours.first()["fast"]))
 
 
 @query
 def cluster_distance(spark, d):
-    rows = view.scored_context(events.logs(spark, d), bucket="hour").select("event_id", *contract.NUMERIC_V2)
-    return model.cluster_distance(pinned(rows), contract.NUMERIC_V2)
+    rows = pinned(view.scored_context(events.logs(spark, d), bucket="hour").select("event_id", *contract.NUMERIC_V2, "is_anomaly"))
+    return model.cluster_distance(rows, contract.NUMERIC_V2, normal=rows.where(F.col("is_anomaly") == 0)).drop("is_anomaly")
+
+
+CENTRES = ((2.0, 0.5), (2.0, 2.5), (5.0, 1.0))
+
+
+@query
+def cluster_assign(spark, d):
+    """Rows by the nearest of given centres."""
+    rows = events.logs(spark, d).select("event_id", "status_code", "response_time_ms")
+    return rounded(model.nearest(rows, ["status_code", "response_time_ms"], CENTRES, (100.0, 1000.0), target="distance"), "distance")
 
 
 # --- streams --------------------------------------------------------------------------------------------------------

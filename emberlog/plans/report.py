@@ -2,34 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
-
 from ..operators.evaluate import LABEL, SCORE, precision_recall_f1, suggest_threshold
 from ..session import stored
 
-SAMPLE = 50_000
-
 
-def validation_report(scored: DataFrame, threshold: float | None = None, sample: int | None = None,
-                      order: Sequence[str] = ()) -> DataFrame:
-    """One row: counts, score range, the same by label, threshold, confusion matrix, precision, recall, F1.
+def validation_report(scored: DataFrame, threshold: float | None = None) -> DataFrame:
+    """One row over all rows: counts, score range, the same by label, threshold, confusion matrix, precision, recall, F1.
 
-    ``sample`` caps the rows once for every figure (in ``order`` when given); None or 0 takes all. The
-    threshold is the 0.9 quantile unless set.
+    The threshold is the 0.9 quantile unless set. Rows without a label are counted and take part in no rate.
     """
-    # Scored once; the three passes below read two narrow columns.
-    rows = stored(scored.select(LABEL, SCORE, *order))
-    total = F.col("sample_rows")
-    if sample:
-        total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-        rows = (rows.orderBy(*order) if order else rows).limit(sample)
+    # Scored once; the passes below read two narrow columns.
+    rows = stored(scored.select(LABEL, SCORE))
     t = F.lit(threshold).cast("double") if threshold is not None else suggest_threshold(rows).scalar()
     rows = rows.withColumn("_t", t)
     s, flagged, quiet = F.col(SCORE), F.col(SCORE) >= F.col("_t"), F.col(SCORE) < F.col("_t")
-    figures = [F.count(F.lit(1)).alias("sample_rows"), F.count_if(s.isNull()).alias("null_scores"),
+    figures = [F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col(LABEL).isNull()).alias("n_unlabelled"), F.count_if(s.isNull()).alias("null_scores"),
                F.min(s).alias("min_score"), F.max(s).alias("max_score"), F.avg(s).alias("avg_score")]
     for label in (0, 1):
         mine = F.when(F.col(LABEL) == label, s)
@@ -39,7 +28,7 @@ def validation_report(scored: DataFrame, threshold: float | None = None, sample:
     figures += [F.max("_t").alias("threshold"), F.count_if(bad & flagged).alias("tp"),
                 F.count_if(good & flagged).alias("fp"), F.count_if(bad & quiet).alias("fn"),
                 F.count_if(good & quiet).alias("tn")]
-    return precision_recall_f1(rows.agg(*figures)).withColumn("total_rows", total)
+    return precision_recall_f1(rows.agg(*figures))
 
 
 def lines(report: DataFrame) -> list[str]:
@@ -47,7 +36,7 @@ def lines(report: DataFrame) -> list[str]:
     r = report.first()
     if not r["total_rows"]:
         return ["No data to validate."]
-    out = [f"rows {r['total_rows']}, sampled {r['sample_rows']}, without score {r['null_scores']}",
+    out = [f"rows {r['total_rows']}, without label {r['n_unlabelled']}, without score {r['null_scores']}",
            f"score min {r['min_score']:.4f}, max {r['max_score']:.4f}, mean {r['avg_score']:.4f}"]
     for label in (0, 1):
         if r[f"n_{label}"]:

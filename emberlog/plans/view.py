@@ -25,13 +25,17 @@ def score_v1(logs: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def scored_context(logs: DataFrame, rolled: DataFrame | None = None, bucket: str = "minute",
-                   frame: str = "rows", chunk_rows: int | None = None) -> DataFrame:
+                   frame: str = "rows", chunk_rows: int | None = None, lazy: bool = False) -> DataFrame:
     """Log rows with computed context. ``rolled`` are merged buckets; without them the logs are rolled up here.
 
-    The result keeps one row per log row, also where a bucket is missing.
+    The result keeps one row per log row, also where a bucket is missing. With ``lazy``, nothing runs before the result
+    is read, and a view of it computes rows and context anew each time; series are then taken to be short unless
+    ``chunk_rows`` is given.
     """
     merged = ru.buckets(logs, bucket) if rolled is None else rolled
-    return ctx.attach_context(logs, ctx.context(merged, frame, bucket, chunk_rows), bucket)
+    if lazy and chunk_rows is None:
+        chunk_rows = 0
+    return ctx.attach_context(logs, ctx.context(merged, frame, bucket, chunk_rows), bucket, lazy)
 
 
 def score_v2(logs: DataFrame, rolled: DataFrame, model: PipelineModel, keep: tuple[str, ...] = (),
@@ -55,7 +59,8 @@ def scored_between(logs: DataFrame, partials: DataFrame, scorer: Callable[[DataF
 
 
 def anomaly_view(df: DataFrame, name: str = contract.VIEW_V2) -> None:
-    """Register a scored frame under a name; every query on it reads its sources anew."""
+    """Register a scored frame under a name; every query on it reads its sources anew, if the frame was built lazily
+    (:func:`scored_context` with ``lazy``) over catalog tables."""
     df.createOrReplaceTempView(name)
 
 

@@ -46,14 +46,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Make sure that checkpoints go to the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept on shared storage, so that a lost executor costs a re-read only."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any storage that Spark reaches; its owner calls this when no frame reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Like :func:`pinned`, as a Parquet table: for frames of many rows that several passes read in part."""
     path = fresh_dir(df.sparkSession, "stored")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import clock, signature as sig
 from . import contract
@@ -19,41 +19,81 @@ def apply_mapping(df: DataFrame, mapping: Mapping[str, Column | str], keep: Sequ
     return df.select(*keep, *[clock.col(source).alias(name) for name, source in mapping.items()])
 
 
+def _checked(df: DataFrame, mapping: Mapping[str, Column | str], types: Mapping[str, str], line: str,
+             broken: Column) -> DataFrame:
+    """Mapped columns in their types, then the line itself and what is wrong with it, or null."""
+    raw = df.select(F.col(line).alias("raw_line"), broken.alias("_broken"),
+                    *[clock.col(source).alias(name) for name, source in mapping.items()])
+    cast = {name: F.col(name).try_cast(kind) for name, kind in types.items() if name in mapping}
+    failed = F.array_compact(F.array(*[F.when(F.col(n).isNotNull() & c.isNull(), F.lit(n)) for n, c in cast.items()]))
+    error = F.when(F.col("_broken"), F.lit("malformed")).when(
+        F.size(failed) > 0, F.concat(F.lit("bad value: "), F.array_join(failed, ", ")))
+    return raw.select(*[cast.get(n, F.col(n)).alias(n) for n in mapping], "raw_line", error.alias("parse_error"))
+
+
 def from_json_logs(df: DataFrame, schema: StructType, mapping: Mapping[str, Column | str],
-                   line: str = "value") -> DataFrame:
-    """Parse one JSON object per row; ``mapping`` names fields of the object."""
-    return apply_mapping(df.select(F.from_json(line, schema).alias("r")).select("r.*"), mapping)
+                   types: Mapping[str, str] | None = None, line: str = "value") -> DataFrame:
+    """Parse one JSON object per row; ``mapping`` names fields of the object, ``types`` what they are cast to.
+
+    Every line gives a row. ``parse_error`` says why a line is no object or which of its values have the wrong
+    type; such values are null, the others are there. :func:`accepted` and :func:`rejected` part the two.
+    """
+    whole = StructType(schema.fields + [StructField("_corrupt", StringType())])
+    parsed = df.select(line, F.from_json(line, whole, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    broken = F.col("r").isNull() | F.col("_corrupt").isNotNull()
+    return _checked(parsed.select(line, "r", "r.*"), mapping, types or {}, line, broken)
 
 
 def from_text_logs(df: DataFrame, pattern: str, fields: Sequence[str], mapping: Mapping[str, Column | str],
-                   line: str = "value") -> DataFrame:
-    """Parse text lines with a pattern that spans a line; its groups become ``fields``.
+                   types: Mapping[str, str] | None = None, line: str = "value") -> DataFrame:
+    """Parse text lines with a pattern that spans a line; its groups, two at least, become ``fields``.
 
-    Lines that do not match are kept out. All groups are taken in one match: put side by side with a
-    separator, then split. Only the last field may hold the separator itself.
+    All groups are taken in one match: put side by side with a separator, then split. Only the last field may
+    hold the separator itself. A line without a match comes back unchanged and is marked as malformed; every
+    line gives a row, as in :func:`from_json_logs`.
     """
-    hits = df.where(F.col(line).rlike(pattern))
     groups = SEPARATOR.join(f"${i + 1}" for i in range(len(fields)))
-    parts = F.split(F.regexp_replace(line, pattern, groups), SEPARATOR, len(fields))
-    return apply_mapping(hits.select(parts.alias("p")).select(*[F.col("p")[i].alias(f) for i, f in enumerate(fields)]),
-                         mapping)
+    replaced = df.select(line, F.regexp_replace(line, pattern, groups).alias("_all"))
+    broken = F.coalesce(F.col("_all") == F.col(line), F.lit(True))
+    marked = replaced.select(line, broken.alias("_no"), F.split(F.when(~broken, F.col("_all")), SEPARATOR, len(fields)).alias("p"))
+    named = marked.select(line, "_no", *[F.get("p", i).alias(f) for i, f in enumerate(fields)])
+    return _checked(named, mapping, types or {}, line, F.col("_no"))
+
+
+def accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("parse_error").isNull()).drop("raw_line", "parse_error")
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("parse_error").isNotNull()).select("raw_line", "parse_error")
 
 
 def derived(df: DataFrame) -> DataFrame:
-    """Fill the columns that follow from the others: hour, weekend flag, signature, error kind, level."""
+    """Fill the columns that follow from the others: hour, weekend flag, signature, error kind, level.
+
+    Signatures must stay few: a named exception stands with its top frame, an ``operation`` (where the frame has
+    that column) with its error kind, and anything else with its endpoint's template and the class of its status.
+    """
+    service = F.upper("service_id")
+    exception = sig.exception_class("log_payload")
+    kind = sig.error_kind("log_payload", exception, "status_code")
+    result = sig.status_class("status_code")
+    plain = sig.signature(service, sig.endpoint_template("endpoint"), result)
+    if "operation" in df.columns:
+        plain = F.when(F.col("operation").isNotNull(), sig.signature(service, "operation", F.coalesce(kind, result))).otherwise(plain)
+    named = sig.signature(service, exception, F.coalesce(sig.top_frame("log_payload"), result))
     return df.withColumns({
         "hour_of_day": F.hour("timestamp"),
         "is_weekend": clock.weekend_flag("timestamp"),
-        "log_signature": sig.signature(F.upper("service_id"), F.upper(F.element_at(F.split("endpoint", "/"), -1)),
-                                       sig.status_class("status_code")),
-        "error_kind": sig.error_kind("log_payload", sig.exception_class("log_payload"), "status_code"),
+        "log_signature": F.when(exception.isNotNull(), named).otherwise(plain),
+        "error_kind": kind,
         "log_level": F.when(F.col("status_code") >= 500, "ERROR").when(F.col("status_code") >= 400, "WARN")
                       .otherwise("INFO"),
     })
 
 
-def union_sources(*frames: DataFrame, schema: StructType = contract.V2_SCHEMA) -> DataFrame:
-    """All rows of all sources; a column a source lacks takes its default."""
+def union_sources(*frames: DataFrame, schema: StructType = contract.ENVELOPE_SCHEMA) -> DataFrame:
+    """All rows of all sources; a column a source lacks takes its default. A label that is not known stays null."""
     return reduce(DataFrame.unionByName, [contract.conform(f, schema) for f in frames])
 
 

@@ -49,9 +49,8 @@ LOGS_V1, LOGS_V2 = "service_logs", "service_logs_v2"
 ROLLUP_TABLE = "log_features_1m"
 VIEW_V1, VIEW_V2 = "anomalous_events", "anomalous_events_v2"
 
-# What a row takes when the source says nothing, and the ranges of the small unsigned columns.
-DEFAULTS = {"throughput_velocity": 1.0, "error_acceleration": 0.0, "is_surge": 0, "is_anomaly": 0,
-            "schema_version": 2}
+# What a row takes when the source says nothing (a label has no default), and the ranges of the small unsigned columns.
+DEFAULTS = {"throughput_velocity": 1.0, "error_acceleration": 0.0, "is_surge": 0, "schema_version": 2}
 RANGES = {"status_code": (0, 65535), "response_time_ms": (0, 4294967295), "hour_of_day": (0, 23),
           "is_weekend": (0, 1), "is_surge": (0, 1), "is_anomaly": (0, 1)}
 
@@ -93,8 +92,8 @@ def range_violations(df: DataFrame) -> DataFrame:
 
 
 def training_frame(df: DataFrame, version: int = 2, limit: int | None = None) -> DataFrame:
-    """Feature columns in model order, then the label. Row choice under ``limit`` is up to Spark."""
-    out = df.select(*(FEATURES_V2 if version == 2 else FEATURES_V1), TARGET)
+    """Feature columns in model order, then the label, of labelled rows. Row choice under ``limit`` is up to Spark."""
+    out = df.where(F.col(TARGET).isNotNull()).select(*(FEATURES_V2 if version == 2 else FEATURES_V1), TARGET)
     return out if limit is None else out.limit(limit)
 
 

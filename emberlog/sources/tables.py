@@ -8,13 +8,16 @@ from pyspark.sql.types import StructType
 from . import contract
 
 
-def ensure_table(spark: SparkSession, name: str, schema: StructType, time_column: str | None = None) -> None:
+def ensure_table(spark: SparkSession, name: str, schema: StructType, time_column: str | None = None,
+                 location: str | None = None) -> None:
     """Create a Parquet table when there is none. With a time column, the table is partitioned by its date."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
     tail = ""
     if time_column:
         fields.append("event_date date")
         tail = " PARTITIONED BY (event_date)"
+    if location:
+        tail += f" LOCATION '{location}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(fields)}) USING parquet{tail}")
 
 

@@ -1,4 +1,5 @@
 import os
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="emberlog-tests-"),
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     })

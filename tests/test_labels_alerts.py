@@ -66,6 +66,17 @@ def test_merged_spans_do_not_overlap(spark):
     assert all(a.e <= b.s for a, b in zip(got, got[1:])) and got[-1].e == BASE + timedelta(hours=3) and len(got) == 4
 
 
+def test_open_and_backward_incidents(spark):
+    df = logs(spark, [log(ts=BASE + timedelta(hours=i)) for i in range(5)])
+    rows = [("svc-a", BASE + timedelta(hours=2), None), ("svc-a", BASE, BASE - timedelta(hours=1)), ("svc-a", None, BASE), (None, BASE, BASE)]
+    incidents = spark.createDataFrame(rows, "service_id string, start_at timestamp_ntz, end_at timestamp_ntz")
+    out = labels.incident_label(df, incidents, 0, 0, as_of=F.lit(BASE + timedelta(hours=3)).cast("timestamp_ntz"))
+    assert [r.is_anomaly for r in out.orderBy("timestamp").collect()] == [0, 0, 1, 1, 0]
+    assert labels.unusable_incidents(incidents).count() == 3
+    with pytest.raises(Exception, match="as_of"):
+        labels.incident_label(df, incidents, 0, 0).collect()
+
+
 def test_tags_and_blocklist(spark):
     df = logs(spark, [log(agent="bad"), log(agent="good"), log(agent=None)])
     tags = spark.createDataFrame([("bad",), ("bad",)], "user_agent string")
@@ -79,6 +90,14 @@ def test_p99(spark):
 
 # --- novelty --------------------------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_rows_without_a_service_are_a_group(spark, limit, monkeypatch):
+    monkeypatch.setattr("emberlog.operators.joins.BROADCAST_BYTES", limit)
+    df = logs(spark, [log(service=None, ms=1), log(service=None, ms=3), log(service=None, ms=8), log(ms=5)])
+    assert sorted(r.anomaly_score for r in novelty.robust_outlier_score(df).collect()) == [-1.0, 0.0, 0.0, 2.5]
+    assert sorted(r.anomaly_score for r in novelty.outlier_score(df).collect()) == [-1.019049, -0.339683, 0.0, 1.358732]
+
+
 def test_outlier_score_of_equal_values_is_zero(spark):
     df = logs(spark, [log(ms=5), log(ms=5), log(service="b", ms=1), log(service="b", ms=3), log(service="b", ms=None)])
     assert [r.anomaly_score for r in novelty.outlier_score(df).collect()] == [0.0, 0.0, -1.0, 1.0, None]
@@ -106,10 +125,10 @@ def test_rarity(spark):
 def test_payload_score(spark, limit, monkeypatch):
     monkeypatch.setattr("emberlog.operators.joins.BROADCAST_BYTES", limit)
     from math import log as ln
-    texts = {1: "a a b", 2: "A c\n", 3: "  "}
+    texts = {1: "a a b", 2: "A c\n", 3: "  ", 4: None}
     df = spark.createDataFrame(list(texts.items()), "id int, t string")
     got = {r.id: (r.n_tokens, r.payload_anomaly_score) for r in novelty.payload_score(df, "id", "t").collect()}
-    assert got.keys() == {1, 2}
+    assert got.keys() == {1, 2, 3, 4} and got[3] == got[4] == (0, None)
     assert got[1] == (3, pytest.approx((2 * ln(5 / 3) + ln(5)) / 3)) and got[2] == (2, pytest.approx((ln(5 / 3) + ln(5)) / 2))
 
 
@@ -117,15 +136,16 @@ def test_payload_score(spark, limit, monkeypatch):
 
 def test_report(scored):
     r = report.validation_report(scored).first()
-    assert (r.total_rows, r.sample_rows, r.null_scores, r.n_0, r.n_1) == (200, 200, 0, 180, 20)
+    assert (r.total_rows, r.n_unlabelled, r.null_scores, r.n_0, r.n_1) == (200, 0, 0, 180, 20)
     assert r.threshold == pytest.approx(179.1) and (r.tp, r.fp, r.fn, r.tn) == (20, 0, 0, 180)
     assert (r.precision, r.recall, r.f1, r.avg_score_1) == (1.0, 1.0, 1.0, 189.5)
     assert report.lines(report.validation_report(scored))[-1].endswith("F1 100.00%")
 
 
-def test_report_with_sample_and_threshold(scored):
-    r = report.validation_report(scored, threshold=50.0, sample=100, order=["event_id"]).first()
-    assert (r.total_rows, r.sample_rows, r.max_score, r.n_1) == (200, 100, 99.0, 0)
+def test_report_with_threshold_counts_rows_without_label(scored):
+    some = scored.withColumn("is_anomaly", F.when(F.col("event_id") < 100, F.col("is_anomaly")))
+    r = report.validation_report(some, threshold=50.0).first()
+    assert (r.total_rows, r.n_unlabelled, r.max_score, r.n_1) == (200, 100, 199.0, 0)
     assert (r.tp, r.fp, r.fn, r.tn) == (0, 50, 0, 50) and (r.precision, r.recall, r.f1) == (0.0, 0.0, 0.0)
 
 
@@ -170,6 +190,8 @@ def test_alerts(scored):
     assert alerts.count_alert(scored, 188.0, limit=10).first()[0] == 11
     windows = alerts.sliding_counts(scored, 189.0, by=[]).collect()
     assert sum(r.n_anomalies for r in windows) == 20
+    hours = scored.select(F.date_trunc("hour", "timestamp")).distinct().count()
+    assert alerts.anomaly_series(scored, 1e9).agg(F.count("*"), F.sum("n_anomalies")).first()[:] == (hours, 0)
     series = alerts.anomaly_series(scored, -1.0, by=["service_id"])
     assert alerts.zscore_alerts(series).count() == 0
     examples = alerts.alert_examples(scored, 150.0, limit=5, k=2)

@@ -50,11 +50,11 @@ def test_save_and_load(trained, tmp_path):
     fitted, _, test, _ = trained
     path = str(tmp_path / "model")
     ml.save(fitted, path)
-    again = ml.load(path)
+    again = ml.load(fitted.codes.sparkSession, path)
     assert ml.features_of(again) == contract.FEATURES_V2
     assert ml.score(test, again).exceptAll(ml.score(test, fitted)).isEmpty()
     with pytest.raises(contract.ContractError):
-        ml.load(path, contract.FEATURES_V1)
+        ml.load(fitted.codes.sparkSession, path, contract.FEATURES_V1)
 
 
 def test_model_record(spark, trained, tmp_path):
@@ -72,10 +72,20 @@ def test_unseen_and_null_categories_are_scored(spark, trained):
     assert evaluate.score_stats(ml.score(odd, fitted)).first()["null_scores"] == 0
 
 
-def test_more_categories_than_bins(spark, logs):
-    rows = logs.withColumn("endpoint", F.concat(F.lit("/u/"), F.col("event_id").cast("string")))
-    fitted = ml.train(rows, contract.NUMERIC_V1, contract.CATEGORICAL_V1, rounds=2, max_bins=16)
-    assert ml.score(rows, fitted).where("anomaly_score IS NULL").isEmpty()
+def test_every_category_counts_however_many_there_are(spark):
+    """Four hundred endpoints, the label depends on the endpoint alone: rare ones are told apart as well."""
+    rows = [("s", f"/u/{i % 400}", 200, i // 400, int(i % 400 % 2)) for i in range(16000)]
+    df = spark.createDataFrame(rows, "service_id string, endpoint string, status_code int, response_time_ms int, is_anomaly int")
+    fitted = ml.train(df, contract.NUMERIC_V1, ["service_id", "endpoint"], rounds=2, max_bins=16)
+    wrong = ml.score(df, fitted).where((F.col("anomaly_score") > 0) != (F.col("is_anomaly") == 1))
+    assert wrong.isEmpty() and fitted.codes.where("feature = 'endpoint'").count() == 400
+
+
+def test_missing_numbers_are_scored_and_unlabelled_rows_not_learnt(spark):
+    rows = [("s", "/e", None if i % 3 == 0 else 200, 5, None if i % 4 == 0 else int(i % 3 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "service_id string, endpoint string, status_code int, response_time_ms int, is_anomaly int")
+    scored = ml.score(df, ml.train(df, contract.NUMERIC_V1, ["service_id"], rounds=2))
+    assert scored.where("(anomaly_score > 0) != (status_code IS NULL)").isEmpty() and scored.count() == 600
 
 
 def test_views_have_the_contract_columns_and_all_rows(spark, logs, trained):

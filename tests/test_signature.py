@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import signature as sig, text
 from emberlog.functions.score import ratio, sigmoid
+from emberlog.sources import adapters
 
 
 def one(spark, column, value, kind="string"):
@@ -38,7 +39,35 @@ def test_endpoint_template(spark, url, want):
 def test_status_class_and_outcome(spark):
     assert one(spark, sig.status_class, 502, "int") == "5xx"
     assert [one(spark, sig.outcome, s, "int") for s in (200, 404, 429, 499, 500, 503)] == [
-        "SUCCESS", "FAIL", "RETRY", "CANCELLED", "FAIL", "RETRY"]
+        "SUCCESS", "FAIL", "FAIL", "CANCELLED", "FAIL", "FAIL"]
+
+
+def test_top_frame(spark):
+    assert one(spark, sig.top_frame, "X: y\n\tat a.B.c(B.java:1)\n\tat d.E.f(E.java:2)") == "a.B.c"
+    assert one(spark, sig.top_frame, "look at (this)") is None
+
+
+def test_derived_signatures_carry_no_ids(spark):
+    rows = [("orders", f"/orders/{i}", 500, m, op) for i in range(50)
+            for m, op in (("ok", None), ("BadError: 7\n\tat x.Y.z(Y.py:3)", None), ("timed out", "pay"), ("AnError", None))]
+    df = spark.createDataFrame(rows, "service_id string, endpoint string, status_code int, log_payload string, operation string")
+    got = adapters.derived(df.withColumn("timestamp", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")))
+    assert {r.log_signature for r in got.select("log_signature").distinct().collect()} == {
+        "[ORDERS]:[/orders/*]:[5xx]", "[ORDERS]:[BadError]:[x.Y.z]", "[ORDERS]:[pay]:[TIMEOUT]", "[ORDERS]:[AnError]:[5xx]"}
+
+
+def test_every_line_gives_a_row(spark):
+    from pyspark.sql.types import StringType, StructField, StructType
+    lines = spark.createDataFrame([('{"a":"1","b":"x"}',), ('{"a":"q","b":"y"}',), ("{broken",), ("[1]",), (None,), ("",)], "value string")
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    got = adapters.from_json_logs(lines, schema, {"n": "a", "s": "b"}, {"n": "int"})
+    assert got.count() == 6 and adapters.rejected(got).count() == 5
+    assert [tuple(r) for r in adapters.accepted(got).collect()] == [(1, "x")]
+    assert [(r.n, r.s, r.parse_error) for r in got.where("s = 'y'").collect()] == [(None, "y", "bad value: n")]
+    text = spark.createDataFrame([("1 x",), ("q y",), ("z",), (None,)], "value string")
+    got = adapters.from_text_logs(text, "^([a-z0-9]+) (.*)$", ["a", "b"], {"n": "a", "s": "b"}, {"n": "int"})
+    assert sorted((str(r.raw_line), r.n, r.parse_error) for r in got.collect()) == [
+        ("1 x", 1, None), ("None", None, "malformed"), ("q y", None, "bad value: n"), ("z", None, "malformed")]
 
 
 @pytest.mark.parametrize("message,status,want", [

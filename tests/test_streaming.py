@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators import alerts, context as ctx, rollup as ru
 from emberlog.plans import view
-from emberlog.sources import contract, events
+from emberlog.sources import contract, events, tables
 from emberlog.streaming import live, state
 from tests.helpers import BASE, log, logs
 
@@ -69,16 +69,18 @@ def test_stream_scored_counts_what_was_seen_so_far(spark, tmp_path):
     assert {round(r.anomaly_score, 6) for r in out.where("endpoint = '/new'").collect()} == {round(10 / 1.9, 6)}
 
 
-def test_live_view_sees_new_rows(spark, tmp_path):
-    path = str(tmp_path / "logs")
-    logs(spark, [log()]).write.parquet(path)
-
-    def count():
-        return view.scored_context(spark.read.parquet(path)).count()
-
-    assert count() == 1
-    logs(spark, [log(), log()]).write.mode("append").parquet(path)
-    assert count() == 3
+def test_live_view_knows_the_context_of_rows_that_came_later(spark, tmp_path):
+    name = "live_view_logs"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.ensure_table(spark, name, contract.V2_SCHEMA, "timestamp", str(tmp_path / "live"))
+    early = [log(ts=BASE + timedelta(minutes=i)) for i in range(12)]
+    tables.append_table(logs(spark, early), name, contract.V2_SCHEMA, "timestamp")
+    view.anomaly_view(view.scored_context(spark.table(name), lazy=True), "live_view")
+    assert spark.table("live_view").count() == 12
+    tables.append_table(logs(spark, [log(ts=BASE + timedelta(minutes=12))] * 50), name, contract.V2_SCHEMA, "timestamp")
+    late = spark.table("live_view").where(F.col("timestamp") == F.lit(BASE + timedelta(minutes=12))).collect()
+    assert len(late) == 50 and {(round(r.throughput_velocity, 6), r.is_surge) for r in late} == {(round(500 / 59, 6), 1)}
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_sliding_alerts_on_a_stream(spark, files):
