@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from ..functions.clock import bucket_start
 from ..functions.score import is_error
+from ..session import discard, there
 from ..sources.contract import ROLLUP_SCHEMA
 
 RETENTION_DAYS = 14
@@ -54,17 +55,26 @@ def retained(rolled: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> Da
     return rolled.where(F.col("window_start") >= as_of - F.make_dt_interval(F.lit(days)))
 
 
-# --- the store of partial counts: one folder per batch, inside it one per day -------------------------------
+# --- the store of partial counts: one folder per day, inside it one per batch --------------------------------
+#
+# Batches are numbered from 0; -1 is the backfill. Compaction writes the merged counts of a day under a number
+# below that, then a manifest row that says which batches it replaces, then deletes those. Readers take a compacted
+# batch only if the manifest has it, and no batch that is replaced, so a crash at any point changes no count.
+
+KEYS = ("service_id", "window_start", "hour_of_day")
+_MANIFEST = StructType([StructField("day", DateType()), StructField("replaced", LongType()), StructField("by", LongType())])
+
 
 def write_partials(logs: DataFrame, root: str, batch_id: int, bucket: str = "minute") -> None:
-    """Roll up one batch into its own folder. Writing the same batch again replaces it, so a replay is harmless."""
-    _by_day(rollup(logs, bucket)).mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    """Roll up one batch into its folders. Writing the same batch again replaces them, so a replay is harmless."""
+    _write(rollup(logs, bucket), root, batch_id)
 
 
-def _by_day(rolled: DataFrame) -> DataFrameWriter:
-    """Writer with one folder per day and few files in it."""
-    days = rolled.withColumn("event_date", F.col("window_start").cast("date")).hint("rebalance", "event_date")
-    return days.write.partitionBy("event_date")
+def _write(rolled: DataFrame, root: str, batch_id: int) -> None:
+    """Few files per day; of existing folders, only those of this batch are replaced."""
+    days = rolled.withColumns({"event_date": F.col("window_start").cast("date"), "batch_id": F.lit(batch_id).cast("bigint")})
+    (days.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date", "batch_id").parquet(root))
 
 
 def backfill(logs: DataFrame, root: str, bucket: str = "minute") -> None:
@@ -72,17 +82,62 @@ def backfill(logs: DataFrame, root: str, bucket: str = "minute") -> None:
     write_partials(logs, root, BACKFILL_BATCH, bucket)
 
 
+def _stored_partials(spark: SparkSession, root: str) -> DataFrame:
+    schema = StructType(ROLLUP_SCHEMA.fields + [StructField("event_date", DateType()), StructField("batch_id", LongType())])
+    return spark.read.schema(schema).parquet(root)
+
+
+def _manifest(spark: SparkSession, root: str) -> list[tuple]:
+    """(day, replaced, by) of all compactions whose day is not deleted: a few rows per day of retention."""
+    folder = f"{root}/_manifest"
+    if not there(spark, folder):
+        return []
+    return [tuple(r) for r in spark.read.schema(_MANIFEST).parquet(folder).collect()]
+
+
 def read_partials(spark: SparkSession, root: str, since: Column | None = None) -> DataFrame:
     """Partial counts of all batches; ``since`` skips whole days before it, then buckets."""
-    schema = StructType(ROLLUP_SCHEMA.fields + [StructField("batch_id", LongType()),
-                                                StructField("event_date", DateType())])
-    df = spark.read.schema(schema).parquet(root)
+    df = _stored_partials(spark, root)
     if since is not None:
         df = df.where((F.col("event_date") >= since.cast("date")) & (F.col("window_start") >= since))
-    return df.drop("event_date")
-
-
-def compact_partials(spark: SparkSession, root: str, target: str) -> None:
-    """Merge the partial counts of a store into a new one with a single batch folder."""
-    merged = merge_partials(read_partials(spark, root), ("service_id", "window_start", "hour_of_day"))
-    _by_day(merged.select(*ROLLUP_SCHEMA.fieldNames())).parquet(f"{target}/batch_id={BACKFILL_BATCH}")
+    replaced = _manifest(spark, root)
+    if replaced:
+        gone = spark.createDataFrame([(d, b) for d, b, _ in replaced], "event_date date, batch_id bigint")
+        by = spark.createDataFrame(sorted({(d, n) for d, _, n in replaced}), "event_date date, batch_id bigint")
+        df = df.join(F.broadcast(gone), ["event_date", "batch_id"], "left_anti")
+        df = df.where(F.col("batch_id") >= BACKFILL_BATCH).unionByName(
+            df.where(F.col("batch_id") < BACKFILL_BATCH).join(F.broadcast(by), ["event_date", "batch_id"], "left_semi"))
+    else:
+        df = df.where(F.col("batch_id") >= BACKFILL_BATCH)
+    return df.select(*ROLLUP_SCHEMA.fieldNames(), "batch_id")
+
+
+def compact_partials(spark: SparkSession, root: str, before) -> int:
+    """Merge the batches of each day before ``before`` (a date) that has several into one; gives back how many went.
+
+    A running stream goes on meanwhile: it writes under other numbers, and what it adds to a compacted day later
+    counts on top until the next compaction.
+    """
+    days = _stored_partials(spark, root).where(F.col("event_date") < F.lit(before)).select("event_date", "batch_id").distinct()
+    known = _manifest(spark, root)
+    live = {(r.event_date, r.batch_id) for r in days.collect()} - {(d, b) for d, b, _ in known}
+    live -= {(d, b) for d, b in live if b < BACKFILL_BATCH and (d, b) not in {(d, n) for d, _, n in known}}
+    many = sorted((d, b) for d, b in live if sum(d == e for e, _ in live) > 1)
+    if many:
+        number = min([BACKFILL_BATCH, *(n for _, _, n in known)]) - 1
+        chosen = spark.createDataFrame(many, "event_date date, batch_id bigint")
+        rows = _stored_partials(spark, root).join(F.broadcast(chosen), ["event_date", "batch_id"], "left_semi")
+        _write(merge_partials(rows, KEYS), root, number)
+        (spark.createDataFrame([(d, b, number) for d, b in many], _MANIFEST).coalesce(1)
+              .write.mode("append").parquet(f"{root}/_manifest"))
+    for day, batch, _ in _manifest(spark, root):  # also what a crash has left
+        discard(spark, f"{root}/event_date={day}/batch_id={batch}")
+    return len(many)
+
+
+def expire_partials(spark: SparkSession, root: str, before) -> int:
+    """Delete the days before ``before`` (a date) from the store; gives back how many."""
+    days = _stored_partials(spark, root).where(F.col("event_date") < F.lit(before)).select("event_date").distinct().collect()
+    for row in days:
+        discard(spark, f"{root}/event_date={row.event_date}")
+    return len(days)

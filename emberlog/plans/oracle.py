@@ -418,6 +418,21 @@ ORACLE: dict[str, str] = {
         WHERE window_start >= TIMESTAMP '2024-01-02 12:00:00' AND window_start < TIMESTAMP '2024-01-02 16:00:00'""",
     "signature_shift_whatif": f"WITH {SHIFTED} SELECT event_id, timestamp, log_signature, is_anomaly FROM shifted",
     "stream_rollup": f"WITH {LOGS} {buckets('minute')} SELECT service_id, window_start, total_reqs, error_reqs FROM buckets",
+    "partials_compacted": f"WITH {LOGS}, r AS ({MINUTE_ROLLUP}) SELECT * FROM r WHERE window_start >= TIMESTAMP '2024-01-04'",
+    "stream_sliding_alerts": f"""WITH {LOGS}, slow AS (SELECT * FROM logs WHERE response_time_ms > 2000), starts AS (
+        SELECT service_id, date_trunc('hour', timestamp) - back AS window_start
+        FROM slow, (SELECT unnest([INTERVAL 0 HOUR, INTERVAL 1 HOUR]) AS back))
+        SELECT service_id, window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n_anomalies FROM starts
+        WHERE window_start + INTERVAL 2 HOUR <= (SELECT max(timestamp) FROM slow) - INTERVAL 10 MINUTE
+        GROUP BY ALL HAVING count(*) >= 2""",
+    "stream_context": f"""WITH {LOGS} {row_context('hour')} SELECT service_id, window_start, total_reqs, error_reqs,
+        round(velocity, 6) AS throughput_velocity, round(error_rate / nullif(then_rate, 0), 6) AS error_acceleration,
+        CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge FROM ctx
+        WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM logs) - INTERVAL 10 MINUTE""",
+    "stream_scored_model": f"""WITH {LOGS} {row_context('minute')}
+        SELECT l.event_id, round(velocity, 6) AS throughput_velocity, CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge,
+               true AS scored, CAST(least((day(l.timestamp) - 1) // 8, 3) AS INTEGER) AS batch_id
+        FROM logs l JOIN ctx ON ctx.service_id = l.service_id AND ctx.window_start = date_trunc('minute', l.timestamp)""",
     "stream_scored": f"""WITH {LOGS} {row_context('minute')}
         SELECT l.event_id, l.timestamp, l.service_id, round(velocity, 6) AS throughput_velocity,
                CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,7 +14,7 @@ from ..functions.clock import day_of_week, in_range
 from ..operators import alerts, context, evaluate, labels, novelty, rank, rollup, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
-from ..streaming import live
+from ..streaming import live, state
 from . import model, report, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -837,6 +838,65 @@ def stream_rollup(spark, d):
     return rollup.merge_partials(rollup.read_partials(spark, root))
 
 
+@query
+def partials_compacted(spark, d):
+    """A store with a backfill, three batches, a replay, a late batch, two compactions and an expiry counts like one rollup."""
+    logs, root = events.logs(spark, d), fresh_dir(spark, "partials")
+    day, late = F.dayofmonth("timestamp"), F.col("event_id") % 10 == 0
+    rollup.backfill(logs.where((day <= 5) & ~late), root)
+    for n, days in enumerate(((6, 12), (13, 20), (21, 31))):
+        rollup.write_partials(logs.where(day.between(*days) & ~late), root, n)
+    rollup.write_partials(logs.where(day.between(6, 12) & ~late), root, 0)
+    rollup.write_partials(logs.where(late & (day <= 20)), root, 3)
+    rollup.compact_partials(spark, root, date(2024, 1, 16))
+    rollup.write_partials(logs.where(late & (day > 20)), root, 4)
+    rollup.compact_partials(spark, root, date(2024, 1, 25))
+    rollup.expire_partials(spark, root, date(2024, 1, 4))
+    return rollup.merge_partials(rollup.read_partials(spark, root), rollup.KEYS)
+
+
+DELAY = "10 minutes"
+
+
+def _finished(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """What a stream gives out until its input is used up."""
+    sink, check = fresh_dir(spark, name), fresh_dir(spark, "stream")
+    query = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", check)
+                   .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(sink)
+
+
+@query
+def stream_sliding_alerts(spark, d):
+    """Windows that the watermark has closed, of rows slower than two seconds."""
+    slow = _event_stream(spark, d).withColumn("anomaly_score", F.col("response_time_ms").cast("double"))
+    return _finished(live.sliding_alerts(slow, 2000.0, 2, delay=DELAY, length="2 hours", slide="1 hour"), spark, "alerts")
+
+
+@query
+def stream_context(spark, d):
+    """Context of the hours that the watermark has closed, from stream state."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", state.STATE_PROVIDER)
+    out = state.stream_context(state.closed_buckets(_event_stream(spark, d), "1 hour", DELAY))
+    return rounded(_finished(out, spark, "context"), "throughput_velocity", "error_acceleration")
+
+
+@query
+def stream_scored_model(spark, d):
+    """Rows scored by the model of the contract as they arrive, in four micro-batches of about a week."""
+    source, root, sink, check = (fresh_dir(spark, n) for n in ("events", "partials", "scored", "stream"))
+    rows = events.read(spark, d)
+    for week in range(4):
+        part = rows.where(F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == week)
+        part.coalesce(1).write.mode("append").parquet(source)  # one file each, in the order of time
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    fitted = trained(spark, d)
+    live.stream_scored(events.envelope(stream), root, sink, check, lambda df: model.score(df, fitted)).awaitTermination()
+    df = spark.read.parquet(sink).select("event_id", "throughput_velocity", "is_surge", F.col("anomaly_score").isNotNull().alias("scored"), "batch_id")
+    return rounded(df, "throughput_velocity")
+
+
 @query
 def stream_scored(spark, d):
     """Rows scored as they arrive, by how busy their minute is."""

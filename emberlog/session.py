@@ -64,6 +64,12 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on any storage that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Like :func:`pinned`, as a Parquet table: for frames of many rows that several passes read in part."""
     path = fresh_dir(df.sparkSession, "stored")

@@ -37,10 +37,20 @@ def test_batches_in_any_order_equal_one_batch(spark, tmp_path):
     key = ["service_id", "window_start"]
     want = ru.buckets(logs(spark, rows)).orderBy(*key).collect()
     assert ru.merge_partials(ru.read_partials(spark, root)).orderBy(*key).collect() == want
-    target = str(tmp_path / "c")
-    ru.compact_partials(spark, root, target)
-    assert ru.merge_partials(ru.read_partials(spark, target)).orderBy(*key).collect() == want
-    assert ru.read_partials(spark, target).count() == len(want)
+    # Compaction of the first day, twice; a late batch counts on top; the day is then deleted.
+    first, second = BASE.date(), BASE.date() + timedelta(days=1)
+    assert ru.compact_partials(spark, root, second) == 4 and ru.compact_partials(spark, root, second) == 0
+    assert ru.merge_partials(ru.read_partials(spark, root)).orderBy(*key).collect() == want
+    assert ru.read_partials(spark, root).where(F.to_date("window_start") == F.lit(first)).select("batch_id").distinct().count() == 1
+    ru.write_partials(logs(spark, rows[:3]), root, 9)
+    assert ru.compact_partials(spark, root, second) == 2
+    more = ru.buckets(logs(spark, rows + rows[:3])).orderBy(*key).collect()
+    assert ru.merge_partials(ru.read_partials(spark, root)).orderBy(*key).collect() == more
+    # A compaction that broke off before its manifest row counts for nothing.
+    ru._write(ru.rollup(logs(spark, rows)), root, -77)
+    assert ru.merge_partials(ru.read_partials(spark, root)).orderBy(*key).collect() == more
+    assert ru.expire_partials(spark, root, second) == 1
+    assert {r.window_start.date() for r in ru.read_partials(spark, root).collect()} == {second}
     late = ru.read_partials(spark, root, F.lit("2025-03-02 00:00:00").cast("timestamp_ntz"))
     assert {r.window_start.day for r in late.collect()} == {2}
 
