@@ -57,8 +57,12 @@ def test_time_filter_reaches_the_scan(spark):
 
 def test_big_context_is_joined_by_shuffles_without_a_broadcast_of_it(spark, monkeypatch):
     monkeypatch.setattr("emberlog.operators.joins.BROADCAST_BYTES", 0)
-    text = plan(QUERIES["scored_context"](spark, SF))
-    assert "Exchange hashpartitioning" in text and "SortMergeJoin" in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["scored_context"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" in text and "SortMergeJoin" in text and text.count("BroadcastHashJoin") <= 1
 
 
 def test_shared_folder_comes_from_the_session(spark):
