@@ -31,6 +31,7 @@ ARCHIVE_BYTES = 16 << 20
 LEAST_REVISIT = 100
 
 LEVEL = 4
+_STEP = 1 << 14
 _EMPTY = gzip.compress(b"", mtime=0)
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -100,21 +101,23 @@ def members(data: bytes, at: int) -> tuple[list[Record], int] | None:
     if data[at:at + 2] != b"\x1f\x8b":
         found = parse(data, at)
         return found and ([found[0]], found[1])
-    unzip = zlib.decompressobj(31)
+    unzip, parts, end = zlib.decompressobj(31), [], at
     try:
-        inner = unzip.decompress(memoryview(data)[at:])
+        while not unzip.eof and end < len(data):  # in steps, as what follows the member would be copied
+            parts.append(unzip.decompress(data[end:end + _STEP]))
+            end = min(end + _STEP, len(data))
     except zlib.error:
         return None
     if not unzip.eof:
         return None
-    records, place = [], 0
+    inner, records, place = b"".join(parts), [], 0
     while place < len(inner):
         found = parse(inner, place)
         if found is None:
             return None
         records.append(found[0])
         place = found[1]
-    return records, len(data) - len(unzip.unused_data)
+    return records, end - len(unzip.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | None]]:
@@ -152,9 +155,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
     responses each; a null page_id is larger than all others and refers to none if its payload has no other page.
     """
     payload = F.coalesce("html", F.lit(""))
-    mine = pages.select("page_id", "url", "html", F.sha2(payload, 256).alias("digest"))
-    role = roles(pages).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "length", "refers")
-    met = mine.join(role, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")))
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("key")
+    mine = pages.select("page_id", "url", "html", F.sha2(payload, 256).alias("digest"), key)
+    role = roles(pages).select(key, "digest", "length", "refers")
     size = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()[0]
     archives = max(1, -(-size // ARCHIVE_BYTES))
 
@@ -166,8 +169,10 @@ def write_archives(pages: DataFrame, path: str) -> None:
                 out.append(gzip.compress(record_bytes(kind, page, url, (html or "").encode(), digest, length, refers), LEVEL, mtime=0))
             yield pa.record_batch([pa.array(out, pa.binary())], ["member"])
 
+    # Payloads move once: the join keeps the partitions, and each becomes an archive.
+    met = mine.repartition(archives, "key", "digest").join(role.repartition(archives, "key", "digest"), ["key", "digest"])
     dealt = met.select("page_id", "url", F.when(F.col("refers").isNull(), F.col("html")).alias("html"), "digest", "length", "refers")
-    made = dealt.repartition(archives, F.xxhash64("page_id", "digest")).mapInArrow(run, "member binary")
+    made = dealt.mapInArrow(run, "member binary")
     rows = made.select(F.col("member").cast("string").alias("value"))  # bytes stay as they are
     rows.write.option("lineSep", _EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
