@@ -33,6 +33,8 @@ QUEUE_TUPLES = 16 << 20
 INDUCED_NAMES = 1 << 10
 INDUCED_LEAST = 1 << 20
 
+_AT_ONCE = 1 << 17  # pieces that are Python objects at once
+
 
 class BucketQueue:
     """Tuples by bucket, in order of arrival. What exceeds ``limit`` tuples goes to a file that vanishes with the task."""
@@ -178,11 +180,17 @@ def _names(text: np.ndarray, s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray
     """Numbers of the pieces from each LMS suffix to the next, both included, in the order of the pieces."""
     wide = (text.astype(np.uint32) * 2 + s).astype(">u4").tobytes()
     past = np.r_[lms[1:] + 1, len(text)] * 4
-    coded = pa.array([wide[a:b] for a, b in zip((lms * 4).tolist(), past.tolist())], pa.large_binary()).dictionary_encode()
-    pieces = coded.dictionary.to_pylist()
+    number: dict[bytes, int] = {}
+    code = np.empty(len(lms), np.int64)
+    for low in range(0, len(lms), _AT_ONCE):
+        spans = zip((lms[low:low + _AT_ONCE] * 4).tolist(), past[low:low + _AT_ONCE].tolist())
+        coded = pa.array([wide[a:b] for a, b in spans], pa.large_binary()).dictionary_encode()
+        own = np.array([number.setdefault(piece, len(number)) for piece in coded.dictionary.to_pylist()])
+        code[low:low + _AT_ONCE] = own[coded.indices.to_numpy()]
+    pieces = list(number)
     rank = np.empty(len(pieces), np.int64)
     rank[sorted(range(len(pieces)), key=pieces.__getitem__)] = np.arange(len(pieces))
-    return rank[coded.indices.to_numpy()], len(pieces)
+    return rank[code], len(pieces)
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:

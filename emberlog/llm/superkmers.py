@@ -16,7 +16,7 @@ Nothing is dropped: a window that occurs twice has a minimiser that is counted t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +28,19 @@ from emberlog.llm.text import characters, concatenated, in_ranges, mix, steps, w
 from emberlog.session import stored
 
 #: Bytes of text behind one bucket of strings and one part of the minimiser counts.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 PART_BYTES = 64 << 20
 
+#: Bodies are written once and read or moved four times, so they are worth the effort.
+BODY_LEVEL = 9
+
 #: Runs of one minimiser in the whole table beyond which its windows travel alone.
 OFTEN = 20_000
 
 _PIECE = 1 << 18  # windows that are hashed at once
 _PLACE = np.uint64((1 << 20) - 1)
 _BASE = 0xD6E8FEB86659FD93
-_IDENTITY = np.uint64((1 << 48) - 1)
-_HEAVY = np.uint64(1 << 48)
+_HEAVY = np.uint64(1 << 63)
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 LAST = np.iinfo(np.int64).max
 
@@ -50,6 +52,11 @@ class Cut:
     k: int
     m: int
     words: bool
+    bits: int = 56  # by which minimisers are told apart; those that look alike only share a bucket
+
+    @property
+    def identity(self) -> np.uint64:
+        return np.uint64((1 << self.bits) - 1)
 
 
 @dataclass
@@ -67,15 +74,21 @@ class Units:
         return self.starts[first], self.starts[first + units]
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 3) -> bytes:
+    """Arrays as one compressed value. Numbers lie as planes of bytes: the high bytes of small or sorted ones vanish."""
     sizes = np.array([a.nbytes for a in arrays], np.int64)
-    return zstandard.ZstdCompressor(3).compress(b"".join([sizes.tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level).compress(b"".join([sizes.tobytes(), *planes]))
 
 
 def unpack(blob: bytes, *types: type) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     ends = 8 * len(types) + np.cumsum(np.frombuffer(raw, np.int64, len(types)))
-    return [np.frombuffer(raw[a:b], t) for a, b, t in zip([8 * len(types), *ends[:-1]], ends, types)]
+    out = []
+    for a, b, t in zip([8 * len(types), *ends[:-1]], ends, types):
+        planes = np.frombuffer(raw, np.uint8, int(b - a), int(a)).reshape(np.dtype(t).itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(t).ravel())
+    return out
 
 
 def units(data: np.ndarray, offsets: np.ndarray, cut: Cut) -> Units:
@@ -128,7 +141,7 @@ def runs(u: Units, cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             least = least[at]
             new = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)])
             gram = grams[(least[new] & _PLACE).astype(np.int64)]
-            found.append((at[new] + low, np.diff(np.r_[new, len(at)]), mix(gram ^ np.uint64(_BASE)) & _IDENTITY))
+            found.append((at[new] + low, np.diff(np.r_[new, len(at)]), mix(gram ^ np.uint64(_BASE)) & cut.identity))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -147,7 +160,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_batch(rest)
-            yield pa.record_batch([[task + i], [int(offsets[-1])], [pack(data, offsets)], [sink.getvalue().to_pybytes()]],
+            yield pa.record_batch([[task + i], [int(offsets[-1])], [pack(data, offsets, level=BODY_LEVEL)], [sink.getvalue().to_pybytes()]],
                                   ["chunk", "n_bytes", "body", "rest"])
 
     return stored(docs.mapInArrow(run, "chunk bigint, n_bytes bigint, body binary, rest binary"))
@@ -185,6 +198,11 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[a]]), order[a:b]
 
 
+def _within(minimiser: np.ndarray, buckets: int) -> np.ndarray:
+    """24 bits by which most minimisers of one bucket differ."""
+    return (minimiser // np.uint64(buckets) & np.uint64((1 << 24) - 1)).astype(np.uint32)
+
+
 def _dealt(frame: DataFrame, key: str, n: int) -> DataFrame:
     return frame.repartition(n, key).sortWithinPartitions(key)
 
@@ -224,10 +242,10 @@ def strings(stock: DataFrame, known: DataFrame, cut: Cut, buckets: int, order: i
             u = units(*unpack(body, np.uint8, np.int64), cut)
             first, count, minimiser = runs(u, cut)
             marked = np.sort(np.concatenate([unpack(a, np.uint64)[0] for a in answers]))
-            plain, often = marked[marked < _HEAVY], marked[marked >= _HEAVY] & _IDENTITY
+            plain, often = marked[marked < _HEAVY], marked[marked >= _HEAVY] & cut.identity
             hot = np.isin(minimiser, often)
             alone = concatenated(first[hot], count[hot])
-            own = mix(rolled(u.hashes, cut.k)[alone]) & _IDENTITY if alone.size else np.zeros(0, np.uint64)
+            own = mix(rolled(u.hashes, cut.k)[alone]) & cut.identity if alone.size else np.zeros(0, np.uint64)
             keep = np.isin(minimiser, plain)
             first, count = np.r_[first[keep], alone], np.r_[count[keep], np.ones(len(alone), np.int64)]
             minimiser = np.r_[minimiser[keep], own]
@@ -248,7 +266,7 @@ def strings(stock: DataFrame, known: DataFrame, cut: Cut, buckets: int, order: i
                 one = at[head]
                 body_of = b"".join([raw[x:y] for x, y in zip(a[one].tolist(), b[one].tolist())])
                 out.append((bucket, pack(
-                    np.frombuffer(body_of, np.uint8), (b - a)[one].astype(np.uint32), count[one].astype(np.uint32), minimiser[one],
+                    np.frombuffer(body_of, np.uint8), (b - a)[one].astype(np.uint32), count[one].astype(np.uint32), _within(minimiser[one], buckets),
                     np.diff(np.r_[head, len(at)]).astype(np.uint32), row[at].astype(np.uint32),
                     (first - u.bounds[row])[at].astype(np.int64), ids[at])))
             yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([chunk] * len(out), pa.int64()),
@@ -280,7 +298,7 @@ def judged(packed: DataFrame, cut: Cut, buckets_at_once: int, solve: Callable[[S
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_key(batches):
             chunk = np.array([r[0] for r in rows])
-            parts = [unpack(r[1], np.uint8, np.uint32, np.uint32, np.uint64, np.uint32, np.uint32, np.int64, np.int64) for r in rows]
+            parts = [unpack(r[1], np.uint8, np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.int64, np.int64) for r in rows]
             size, windows, minimiser, copies, row, first, order = [np.concatenate([p[i] for p in parts]) for i in range(1, 8)]
             chunk = np.repeat(chunk, [len(p[5]) for p in parts])
             lengths = np.r_[0, np.cumsum(size, dtype=np.int64)]
@@ -330,6 +348,8 @@ def covered(stock: DataFrame, cut: Cut, solve: Callable[[Shard, Cut], np.ndarray
     size = stock.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     at_least = int(stock.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts, buckets = max(at_least, size // PART_BYTES), max(at_least, size // BUCKET_BYTES)
+    # wide enough that few minimisers of a table of this size look alike by chance
+    cut = replace(cut, bits=min(56, -(-(size.bit_length() + 6) // 8) * 8))
     known = repeated_minimisers(stock, cut, parts)
     packed = strings(stock, known, cut, buckets, order)
     found = judged(packed, cut, buckets, solve, order is not None)
