@@ -2,9 +2,11 @@
 
 Every text is reduced to its letters in lower case with one blank between words. Per language, all character n-grams of the
 learnt rows are counted by Spark; continuation counts, discounts and back-off weights of all orders follow from them by
-aggregation. What is broadcast are sorted arrays of hashed n-grams with one log-probability per language, without n-grams
-below a share of ``MIN_SHARE`` of their language (their mass is that of the back-off): at most 1 / ``MIN_SHARE`` per order and
-language, whatever the size of the table.
+aggregation. Every n-gram is kept: the models are tables in the shared folder, with one probability per language, and grow
+with the corpus. Nothing of them is broadcast or collected.
+
+Texts are scored by joins. Some megabytes of texts make a chunk, which asks for each of its distinct n-grams once; what the
+models say about them returns to the chunk, is laid out there as a sorted hash array and summed by text.
 
 A text's language is the one with the lowest cross-entropy per character. How the differences turn into a probability,
 and from which cross-entropy on a text is rejected as none of the languages, is calibrated on the learnt rows.
@@ -18,13 +20,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from emberlog.llm.superkmers import _each, pack, rest_of, unpack
 from emberlog.llm.text import characters, id_hash, mix, steps, table
 from emberlog.session import stored
 
 ORDER = 4
-MIN_SHARE = 2.0**-18
+
+#: N-grams below this share of their language are left out of its model; 0 keeps all.
+MIN_SHARE = 0.0
+
+#: Bytes of text that ask for their n-grams together.
+CHUNK_BYTES = 64 << 20
 
 #: Share of a language's own texts that are rejected as none.
 REJECTED = 0.002
@@ -147,111 +156,178 @@ class HashArray:
         return out
 
 
-def _mask(order: int) -> np.uint64:
-    return np.uint64((1 << 16 * order) - 1)
-
-
 @dataclass
 class Model:
-    """Log2 probabilities and back-off weights by order, one column per language."""
+    """Probabilities and back-off weights by order from 1, as stored tables with one number per language."""
 
     languages: list[str]
-    probability: list[HashArray]  # by order, from 1
-    backoff: list[HashArray]
+    probability: list[DataFrame]  # (gram, p): interpolated, for the n-grams of any language
+    backoff: list[DataFrame]  # (ctx, w)
     floor: float
 
-    def log_probability(self, keys: np.ndarray, order: int) -> np.ndarray:
-        """One row per n-gram of that order: the interpolated value if it is stored, else weight times the shorter one's."""
+    def answers(self, asked: DataFrame, order: int = ORDER) -> DataFrame:
+        """(gram, p) for distinct n-grams of that order: the interpolated value if there is one, else weight times the shorter one's."""
         if order == 0:
-            return np.full((len(keys), len(self.languages)), self.floor, np.float32)
-        known = self.probability[order - 1]
-        at = known.find(keys)
-        out = known.values[np.maximum(at, 0)] if len(known.hashes) else np.zeros((len(keys), len(self.languages)), np.float32)
-        miss = np.flatnonzero(at < 0)
-        if miss.size:
-            lower = self.log_probability(keys[miss] & _mask(order - 1), order - 1)
-            weight = self.backoff[order - 1]
-            of = weight.find(keys[miss] >> _BITS)
-            seen = of >= 0
-            lower[seen] += weight.values[of[seen]]
-            out[miss] = lower
-        return out
+            return asked.select("gram", F.array(*[F.lit(self.floor)] * len(self.languages)).alias("p"))
+        met = stored(asked.join(self.probability[order - 1], "gram", "left"))
+        missing = met.where("p IS NULL").select("gram", _context("gram").alias("ctx"), _shorter("gram", order - 1).alias("rest"))
+        lower = self.answers(missing.select(F.col("rest").alias("gram")).distinct(), order - 1)
+        lower = lower.select(F.col("gram").alias("rest"), F.col("p").alias("lower"))
+        weighted = F.when(F.col("w").isNull(), F.col("lower")).otherwise(F.zip_with("w", "lower", lambda w, p: w * p))
+        rest = missing.join(self.backoff[order - 1], "ctx", "left").join(lower, "rest").select("gram", weighted.alias("p"))
+        return met.where("p IS NOT NULL").unionByName(rest)
+
+    def cross_entropy(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bits per character by row and language, letters by row) of a few UTF-8 texts."""
+        raw = data.tobytes()
+        texts = [(i, raw[a:b].decode("utf-8", "replace")) for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:]))]
+        docs = self.probability[0].sparkSession.createDataFrame(texts, "row bigint, text string")
+        got = measured(docs, self).orderBy("row").collect()
+        return np.array([r.bits for r in got]), np.array([r.n_letters for r in got])
+
+
+def _context(gram: str) -> Column:
+    return F.shiftrightunsigned(gram, 16)
 
-    def cross_entropy(self, data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-        """(bits per character by row and language, letters by row)."""
-        text, bounds, n_letters = letters(data, offsets)
-        keys, edges = grams(text, bounds)
-        rows = np.repeat(np.arange(len(offsets) - 1), np.diff(edges))
-        total = np.zeros((len(offsets) - 1, len(self.languages)))
-        for low in range(0, len(keys), block):
-            part, row = self.log_probability(keys[low:low + block], ORDER), rows[low:low + block]
-            head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            total[row[head]] -= np.add.reduceat(part, head, axis=0, dtype=np.float64)
-        return total / np.maximum(np.diff(edges), 1)[:, None], n_letters
+
+def _shorter(gram: str, order: int) -> Column:
+    return F.col(gram).bitwiseAND(F.lit((1 << 16 * order) - 1))
 
 
 def trained(docs: DataFrame) -> Model:
     """Models of all languages (non-null ``lang``) of ``docs``; null and empty texts teach nothing."""
     table_of = {ORDER: stored(counts(docs.where("lang IS NOT NULL")))}
     for k in range(ORDER - 1, 0, -1):  # of shorter n-grams, how many longer ones end in them
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1))
-        table_of[k] = stored(table_of[k + 1].groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")))
-    rows = []
+        table_of[k] = stored(table_of[k + 1].groupBy("lang", _shorter("gram", k).alias("gram")).agg(F.count("*").alias("n")))
+    sums = {}
     for k, frame in table_of.items():
-        sums = frame.groupBy("lang").agg(F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
-        discount = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
-        sums = sums.select("lang", "all", F.least(F.greatest(discount, F.lit(0.1)), F.lit(0.9)).alias("d"))
-        ctx = frame.groupBy("lang", F.shiftrightunsigned("gram", 16).alias("ctx")).agg(F.sum("n").alias("s"), F.count("*").alias("kinds"))
-        ctx = ctx.join(sums, "lang")
-        least = F.col("all") * F.lit(MIN_SHARE)
-        weight = ctx.where(F.col("s") >= least).select(
-            F.lit(k).alias("k"), "lang", F.lit(True).alias("is_ctx"), F.col("ctx").alias("gram"), (F.col("d") * F.col("kinds") / F.col("s")).alias("v"))
-        direct = frame.withColumn("ctx", F.shiftrightunsigned("gram", 16)).join(ctx, ["lang", "ctx"]).where(F.col("n") >= least).select(
-            F.lit(k).alias("k"), "lang", F.lit(False).alias("is_ctx"), "gram", ((F.col("n") - F.col("d")) / F.col("s")).alias("v"))
-        rows.append(weight.unionByName(direct))
-    union = rows[0]
-    for r in rows[1:]:
-        union = union.unionByName(r)
-    got = union.toPandas()  # at most 2 * ORDER / MIN_SHARE rows per language
-    languages = sorted(got["lang"].unique().tolist())
-    got["lang"] = got["lang"].map({name: i for i, name in enumerate(languages)}).astype(np.int64)
-    alphabet = max(2, got[(got.k == 1) & ~got.is_ctx.astype(bool)]["gram"].nunique() + 1)
-    model = Model(languages, [], [], -float(np.log2(alphabet)))
+        of = frame.groupBy("lang").agg(F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
+        sums[k] = {r.lang: (r["all"] * MIN_SHARE, min(max(r.n1 / (r.n1 + 2 * r.n2) if r.n1 else 0.5, 0.1), 0.9)) for r in of.collect()}
+    languages = sorted(sums[ORDER])
+    if not languages:
+        return Model([], [], [], 0.0)
+
+    def by_language(value: Column) -> Column:
+        return F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == x, value)), F.lit(0)) for x in languages])
+
+    enough = F.lit(False)
+    for x in languages:
+        enough |= (F.col("lang") == x) & (F.col("n") >= sums[1][x][0])
+    model = Model(languages, [], [], 1 / max(2, table_of[1].where(enough).select("gram").distinct().count() + 1))
     for k in range(1, ORDER + 1):
-        of = got[got.k == k]
-        is_ctx = of["is_ctx"].to_numpy(bool)
-        keys, weight = _matrix(of[is_ctx], len(languages), 1.0)
-        model.backoff.append(HashArray(keys, np.log2(weight).astype(np.float32)))
-        keys, direct = _matrix(of[~is_ctx], len(languages), 0.0)
-        lower = model.log_probability(keys & _mask(k - 1), k - 1)
-        at = model.backoff[k - 1].find(keys >> _BITS)
-        lower[at >= 0] += model.backoff[k - 1].values[at[at >= 0]]
-        model.probability.append(HashArray(keys, np.log2(direct + np.exp2(lower.astype(np.float64))).astype(np.float32)))
+        least, d = ([sums[k][x][i] for x in languages] for i in (0, 1))
+        frame = table_of[k].withColumn("ctx", _context("gram"))
+        ctx = stored(frame.groupBy("ctx").agg(by_language(F.col("n")).alias("s"), by_language(F.lit(1)).alias("kinds")))
+        weights = [F.when((F.col("s")[i] > 0) & (F.col("s")[i] >= least[i]), d[i] * F.col("kinds")[i] / F.col("s")[i]).otherwise(1.0)
+                   for i in range(len(languages))]
+        ctx = ctx.select("ctx", "s", F.array(*weights).alias("w"))
+        grams_of = table_of[k].groupBy("gram").agg(by_language(F.col("n")).alias("n"))
+        grams_of = grams_of.withColumn("ctx", _context("gram")).join(F.broadcast(ctx) if k == 1 else ctx, "ctx")
+        if k == 1:
+            grams_of = grams_of.withColumn("lower", F.array(*[F.lit(model.floor)] * len(languages)))
+        else:
+            lower = model.probability[-1].select(F.col("gram").alias("rest"), F.col("p").alias("lower"))
+            grams_of = grams_of.withColumn("rest", _shorter("gram", k - 1)).join(lower, "rest")
+        p = [F.when((F.col("n")[i] > 0) & (F.col("n")[i] >= least[i]), (F.col("n")[i] - d[i]) / F.col("s")[i]).otherwise(0.0)
+             + F.col("w")[i] * F.col("lower")[i] for i in range(len(languages))]
+        model.probability.append(stored(grams_of.select("gram", F.array(*p).alias("p"))))
+        model.backoff.append(stored(ctx.select("ctx", "w")))
     return model
 
 
-def _matrix(rows, languages: int, other: float) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams, and a column per language filled with ``other`` where a language lacks one."""
-    keys, which = np.unique(rows["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    out = np.full((len(keys), languages), other)
-    out[which, rows["lang"].to_numpy()] = rows["v"].to_numpy()
-    return keys, out
+def _asking(docs: DataFrame) -> DataFrame:
+    """(chunk, asks, body, rest): texts (the first column) as letters with the other columns beside them, in pieces, and one
+    row per chunk with its distinct n-grams. Stored."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size, parts = TaskContext.get().partitionId() << 32, 0, []
 
+        def out(asks: bytes | None, body: bytes | None, rest: bytes | None) -> pa.RecordBatch:
+            columns = [pa.array([chunk], pa.int64()), *[pa.array([x], pa.binary()) for x in (asks, body, rest)]]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "asks", "body", "rest"])
 
-def measured(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and bits (cross-entropy by language, array<double>) and n_letters, which replace columns so named."""
-    docs = docs.drop("bits", "n_letters")
-    place = docs.columns.index("text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+        for step in steps(batches, 0):
+            data, offsets = characters(step.column(0))
+            if parts and size + len(data) > CHUNK_BYTES:
+                yield out(pack(np.unique(np.concatenate(parts))), None, None)
+                chunk, size, parts = chunk + 1, 0, []
+            size += len(data)
+            text, bounds, n = letters(data, offsets)
+            parts.append(np.unique(grams(text, bounds)[0]))
+            if len(parts) > 16:
+                parts = [np.unique(np.concatenate(parts))]
+            rest = pa.RecordBatch.from_arrays(step.columns[1:], names=[f"c{j}" for j in range(1, step.num_columns)])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(rest)
+            yield out(None, pack(text, bounds, n), sink.getvalue().to_pybytes())
+        if parts:
+            yield out(pack(np.unique(np.concatenate(parts))), None, None)
+
+    return stored(docs.mapInArrow(run, "chunk bigint, asks binary, body binary, rest binary"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, place):
-            bits, n = shared.value.cross_entropy(*characters(step.column(place)))
-            width = bits.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * width, pa.int32()), pa.array(bits.ravel(), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*step.columns, lists, pa.array(n.astype(np.int64))], names=[*step.schema.names, "bits", "n_letters"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("bits", T.ArrayType(T.DoubleType())), T.StructField("n_letters", T.LongType())]))
+def measured(docs: DataFrame, model: Model) -> DataFrame:
+    """All columns of ``docs`` but text, and bits (cross-entropy by language, array<double>) and n_letters, which replace columns so named."""
+    docs = docs.select("text", *[c for c in docs.columns if c not in ("text", "bits", "n_letters")])
+    width, names = len(model.languages), [*docs.columns[1:], "bits", "n_letters"]
+    stock = _asking(docs)
+
+    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, asks in _each(batches):
+            keys = unpack(asks, np.uint64)[0].view(np.int64)
+            for low in range(0, len(keys), 1 << 16):
+                part = keys[low:low + (1 << 16)]
+                yield pa.record_batch([pa.array(np.full(len(part), chunk)), pa.array(part)], ["chunk", "gram"])
+
+    def told(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            chunk, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            values = np.log2(batch.column(2).flatten().to_numpy().reshape(-1, width)).astype(np.float32)
+            heads = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
+            blobs = [pack(keys[a:b], values[a:b].ravel()) for a, b in zip(heads, [*heads[1:], len(chunk)])]
+            yield pa.record_batch([pa.array(chunk[heads]), pa.array([0] * len(heads), pa.int32()), pa.array(blobs, pa.binary()),
+                                   pa.nulls(len(heads), pa.binary())], ["chunk", "kind", "body", "rest"])
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, parts, known = None, [], None
+        for key, kind, blob, rest in _each(batches):
+            if key != chunk:
+                chunk, parts, known = key, [], None
+            if not kind:
+                parts.append(unpack(blob, np.uint64, np.float32))
+                continue
+            if known is None:
+                keys = np.concatenate([np.zeros(0, np.uint64), *[p[0] for p in parts]])
+                known = HashArray(keys, np.concatenate([np.zeros(0, np.float32), *[p[1] for p in parts]]).reshape(-1, width))
+                parts = []
+            text, bounds, n = unpack(blob, np.uint16, np.int64, np.int64)
+            bits = _summed(text, bounds, known, width)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * width, pa.int32()), pa.array(bits.ravel(), pa.float64()))
+            yield pa.RecordBatch.from_arrays([*rest_of(rest).columns, lists, pa.array(n)], names=names)
+
+    asked = stock.where("asks IS NOT NULL").select("chunk", "asks").mapInArrow(listed, "chunk bigint, gram bigint")
+    answers = model.answers(asked.select("gram").distinct())
+    answered = asked.join(answers, "gram").select("chunk", "gram", "p").sortWithinPartitions("chunk", "gram")
+    answered = answered.mapInArrow(told, "chunk bigint, kind int, body binary, rest binary")
+    pieces = stock.where("body IS NOT NULL").select("chunk", F.lit(1).alias("kind"), "body", "rest")
+    met = answered.unionByName(pieces).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return met.mapInArrow(score, T.StructType([*docs.schema.fields[1:], T.StructField("bits", T.ArrayType(T.DoubleType())), T.StructField("n_letters", T.LongType())]))
+
+
+def _summed(text: np.ndarray, bounds: np.ndarray, known: HashArray, width: int, block: int = 1 << 18) -> np.ndarray:
+    """Bits per character by row and language, if ``known`` has all n-grams of the text."""
+    keys, edges = grams(text, bounds)
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(edges))
+    total = np.zeros((len(bounds) - 1, width))
+    for low in range(0, len(keys), block):
+        at, row = known.find(keys[low:low + block]), rows[low:low + block]
+        if (at < 0).any():
+            raise ValueError("an n-gram has no answer")
+        head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        total[row[head]] -= np.add.reduceat(known.values[at], head, axis=0, dtype=np.float64)
+    return total / np.maximum(np.diff(edges), 1)[:, None]
 
 
 def identified(docs: DataFrame, learn) -> DataFrame:
@@ -269,7 +345,7 @@ def identified(docs: DataFrame, learn) -> DataFrame:
     if not names:
         und = F.lit("und").alias("lang_pred")
         return docs.select("doc_id", und, F.lit(0.0).alias("score"), F.lit(False).alias("rejected"), F.lit(None).cast("double").alias("bits_per_char"))
-    bits = stored(measured(docs.withColumn("known", F.coalesce(learn, F.lit(False))), model).drop("text"))
+    bits = stored(measured(docs.withColumn("known", F.coalesce(learn, F.lit(False))), model))
     bits = bits.withColumn("least", F.array_min("bits"))
     own = F.get("bits", F.array_position(F.lit(names), F.col("lang")).cast("int") - 1)
     known = bits.where(F.col("known") & (F.col("n_letters") > 0) & F.array_contains(F.lit(names), F.col("lang")))

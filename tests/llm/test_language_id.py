@@ -105,3 +105,26 @@ def test_lookup_finds_all_and_nothing_else():
         found = L.HashArray(keys, keys[:, None]).find(np.r_[keys, keys + np.uint64(1)])
         table = L.HashArray(keys, keys[:, None])
         assert (table.values[found[:len(keys)], 0] == keys).all() and (found[len(keys):] == -1).all()
+
+
+def test_rare_ngrams_of_a_large_language_are_kept(spark):
+    rows = [(0, "ab " * 100_000, "aa"), (1, "wxyzq", "aa"), (2, "cd " * 100, "bb")]
+    model = L.trained(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    raw = b"wxyzq"
+    bits, _ = model.cross_entropy(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    books = [brute_model([t for _, t, g in rows if g == lang], 0.0) for lang in model.languages]
+    floor = 1 / (len(set().union(*[t[1] for t, _ in books])) + 1)
+    padded = "   wxyzq"
+    for j, (_, p) in enumerate(books):
+        assert bits[0, j] == pytest.approx(np.mean([-np.log2(p(padded[a:a + 4], floor)) for a in range(5)]), rel=1e-4)
+    assert sum(table.count() for table in model.probability) == len(set().union(*[set(c) for t, _ in books for c in t.values()]))
+
+
+def test_texts_ask_in_several_chunks(spark, monkeypatch):
+    rows = corpus(90)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r.doc_id: r for r in L.identified(docs, F.lit(True)).collect()}
+    monkeypatch.setattr(L, "CHUNK_BYTES", 1)
+    parts = {r.doc_id: r for r in L.identified(docs, F.lit(True)).collect()}
+    assert {k: r.lang_pred for k, r in parts.items()} == {k: r.lang_pred for k, r in whole.items()} and len(parts) == len(rows)
+    assert all(parts[k].bits_per_char == pytest.approx(whole[k].bits_per_char) for k in whole)
