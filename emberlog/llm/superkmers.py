@@ -6,8 +6,9 @@ packed string to the bucket of the minimiser, and equal windows always meet ther
 1. Texts are stored once in chunks of rows, compressed; a chunk's number addresses its rows.
 2. Minimisers are counted: each chunk sends the distinct ones with their counts. Those seen once need no further look.
 3. The chunks, joined with the answer, send the packed strings of the other minimisers. Within a chunk equal strings
-   are sent once, with the list of places they come from. Minimisers that occur very often would overload a bucket:
-   their windows travel alone, to the bucket of the whole window, so that only equal windows share one.
+   are sent once, with the number of places they come from and the first one in order; the other places stay with the
+   chunk. Minimisers that occur very often would overload a bucket: their windows travel alone, to the bucket of the
+   whole window, so that only equal windows share one, at most one from each chunk.
 4. Each bucket decides which windows are repeats; the answer returns to the chunks as ranges of units.
 
 Nothing is dropped: a window that occurs twice has a minimiser that is counted twice.
@@ -236,7 +237,12 @@ def repeated_minimisers(stock: DataFrame, cut: Cut, parts: int) -> DataFrame:
 
 def strings(stock: DataFrame, known: DataFrame, cut: Cut, buckets: int, order: int | None) -> DataFrame:
     """(bucket, chunk, strings): the packed strings of the repeated minimisers. ``order``: the column of ``rest`` whose
-    smallest value is the original among repeats."""
+    smallest value is the original among repeats.
+
+    What a chunk knows of its own repeats is a row with a negative bucket: ranges (see :func:`marked_units`) of places that
+    need no answer, as the chunk itself has a place that comes before or counts against them, and the places that
+    share the fate of the one sent.
+    """
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, body, rest, answers in _each(batches):
             u = units(*unpack(body, np.uint8, np.int64), cut)
@@ -259,16 +265,28 @@ def strings(stock: DataFrame, known: DataFrame, cut: Cut, buckets: int, order: i
             ids = np.zeros(len(row), np.int64)
             if order is not None:
                 ids = rest_of(rest).column(order).fill_null(LAST).to_numpy()[row]
-            out = []
+            out, gone, tied = [], [], []
+            place = first - u.bounds[row]
             for bucket, at in _split(minimiser % np.uint64(buckets)):
-                at = at[np.argsort(code[at], kind="stable")]
-                head = np.flatnonzero(np.r_[True, code[at][1:] != code[at][:-1]])
+                at = at[np.lexsort((ids[at], code[at]))]
+                new = np.r_[True, code[at][1:] != code[at][:-1]]
+                head = np.flatnonzero(new)
                 one = at[head]
+                sent = one[np.cumsum(new) - 1]
+                after = ids[at] > ids[sent] if order is not None else ~new
+                gone.append(at[after])
+                same = ~new & ~after
+                tied.append(np.stack([sent[same], at[same]]))
+                number = np.where(np.isin(one, sent[same]), one, -1)
                 body_of = b"".join([raw[x:y] for x, y in zip(a[one].tolist(), b[one].tolist())])
                 out.append((bucket, pack(
                     np.frombuffer(body_of, np.uint8), (b - a)[one].astype(np.uint32), count[one].astype(np.uint32), _within(minimiser[one], buckets),
-                    np.diff(np.r_[head, len(at)]).astype(np.uint32), row[at].astype(np.uint32),
-                    (first - u.bounds[row])[at].astype(np.int64), ids[at])))
+                    np.diff(np.r_[head, len(at)]).astype(np.uint32), row[one].astype(np.uint32), place[one].astype(np.int64), ids[one],
+                    number.astype(np.int64))))
+            gone, (sent, same) = np.concatenate(gone), np.concatenate(tied, axis=1)
+            if gone.size or same.size:
+                ranges = row[gone], place[gone], place[gone] + count[gone] + cut.k - 1, np.full(len(gone), -1)
+                out.append((-1 - chunk, pack(*[x.astype(np.int64) for x in (*ranges, sent, row[same], place[same], place[sent])])))
             yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([chunk] * len(out), pa.int64()),
                                    pa.array([o[1] for o in out], pa.binary())], ["bucket", "chunk", "strings"])
 
@@ -284,35 +302,38 @@ class Shard:
     data: np.ndarray
     offsets: np.ndarray
     windows: np.ndarray  # by string
-    copies: np.ndarray  # places each string comes from
+    copies: np.ndarray  # places each string comes from, counted
     order: np.ndarray  # smallest order value among them
 
 
 def judged(packed: DataFrame, cut: Cut, buckets_at_once: int, solve: Callable[[Shard, Cut], np.ndarray], ordered: bool) -> DataFrame:
-    """(chunk, ranges): packed arrays row, first, past of units that repeated windows cover.
+    """(chunk, ranges): ranges of units that repeated windows cover, packed as :func:`marked_units` reads them.
 
     ``solve`` says for each window of the strings whether it repeats elsewhere; if ``ordered``, whether it occurs with a
     smaller order value. It is asked about strings whose minimiser other strings have too: within one string, no two
     windows are equal, as the minimiser would have to stand at two places.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_key(batches):
+        none = np.zeros(0, np.int64)
+        for bucket, rows in _by_key(batches):
+            if bucket < 0:
+                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "ranges"])
+                continue
             chunk = np.array([r[0] for r in rows])
-            parts = [unpack(r[1], np.uint8, np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.int64, np.int64) for r in rows]
-            size, windows, minimiser, copies, row, first, order = [np.concatenate([p[i] for p in parts]) for i in range(1, 8)]
+            parts = [unpack(r[1], np.uint8, np.uint32, np.uint32, np.uint32, np.uint32, np.uint32, np.int64, np.int64, np.int64) for r in rows]
+            size, windows, minimiser, copies, row, first, order, number = [np.concatenate([p[i] for p in parts]) for i in range(1, 9)]
             chunk = np.repeat(chunk, [len(p[5]) for p in parts])
             lengths = np.r_[0, np.cumsum(size, dtype=np.int64)]
             body = pa.py_buffer(np.concatenate([p[0] for p in parts]))
             del parts
             all_strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(lengths), body])
             coded = all_strings.dictionary_encode()
-            code = coded.indices.to_numpy()
-            string = np.repeat(code, copies)  # of each place
+            string = code = coded.indices.to_numpy()  # of each place that was sent
             n = len(coded.dictionary)
             one = np.zeros(n, np.int64)
             one[code[::-1]] = np.arange(len(code))[::-1]
             windows, minimiser = windows[one].astype(np.int64), minimiser[one]
-            places = np.bincount(string, minlength=n)
+            places = np.bincount(string, copies, n).astype(np.int64)
             least = np.full(n, LAST)
             np.minimum.at(least, string, order)
             shared, times = np.unique(minimiser, return_counts=True)
@@ -323,7 +344,7 @@ def judged(packed: DataFrame, cut: Cut, buckets_at_once: int, solve: Callable[[S
                 data, offsets = characters(coded.dictionary.take(pa.array(ask)))
                 hit[concatenated(head[ask], windows[ask])] = solve(Shard(data, offsets, windows[ask], places[ask], least[ask]), cut)
             all_of_it = order > least[string] if ordered else places[string] > 1
-            spans = [np.stack([chunk, row, first, first + windows[string] + cut.k - 1], axis=1)[all_of_it]]
+            spans = [np.stack([chunk, row, first, first + windows[string] + cut.k - 1, number], axis=1)[all_of_it]]
             # runs of hit windows by string, for the other places
             edge = np.flatnonzero(hit & np.r_[True, ~hit[:-1]] | hit & np.isin(np.arange(len(hit)), head))
             last = np.flatnonzero(hit & (np.r_[~hit[1:], True] | np.isin(np.arange(1, len(hit) + 1), head)))
@@ -334,9 +355,9 @@ def judged(packed: DataFrame, cut: Cut, buckets_at_once: int, solve: Callable[[S
             which = concatenated(by_string[string[rest]], n_runs)
             place = np.repeat(rest, n_runs)
             from_unit = first[place] - head[string[place]]
-            spans.append(np.stack([chunk[place], row[place], from_unit + edge[which], from_unit + last[which] + cut.k], axis=1))
+            spans.append(np.stack([chunk[place], row[place], from_unit + edge[which], from_unit + last[which] + cut.k, number[place]], axis=1))
             spans = np.concatenate(spans).astype(np.int64)
-            out = [(c, pack(spans[at, 1], spans[at, 2], spans[at, 3])) for c, at in _split(spans[:, 0])]
+            out = [(c, pack(spans[at, 1], spans[at, 2], spans[at, 3], spans[at, 4], none, none, none, none)) for c, at in _split(spans[:, 0])]
             if out:
                 yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["chunk", "ranges"])
 
@@ -358,9 +379,18 @@ def covered(stock: DataFrame, cut: Cut, solve: Callable[[Shard, Cut], np.ndarray
 
 
 def marked_units(bounds: np.ndarray, ranges: list[bytes] | None) -> np.ndarray:
-    """Which units of a chunk are covered."""
-    found = [unpack(r, np.int64, np.int64, np.int64) for r in ranges or ()]
+    """Which units of a chunk are covered.
+
+    Each value of ``ranges`` packs row, first, past and number of ranges, and number, row, first and first unit of the
+    numbered place for places that the ranges of that number hold for as well.
+    """
+    found = [unpack(r, *[np.int64] * 8) for r in ranges or ()]
     if not found:
         return np.zeros(int(bounds[-1]), bool)
-    row, first, past = (np.concatenate(x) for x in zip(*found))
+    row, first, past, number, of, tied_row, tied_first, sent_first = (np.concatenate(x) for x in zip(*found))
+    by = np.argsort(of, kind="stable")
+    low, high = np.searchsorted(of[by], number, "left"), np.searchsorted(of[by], number, "right")
+    tied, span = by[concatenated(low, high - low)], np.repeat(np.arange(len(number)), high - low)
+    shift = tied_first[tied] - sent_first[tied]
+    row, first, past = np.r_[row, tied_row[tied]], np.r_[first, first[span] + shift], np.r_[past, past[span] + shift]
     return in_ranges(int(bounds[-1]), bounds[row] + first, bounds[row] + past)

@@ -119,3 +119,16 @@ def test_suffix_array_and_common_prefixes(letters, limit, monkeypatch):
         while n < min(50, len(tails[a]), len(tails[b])) and tails[a][n] == tails[b][n]:
             n += 1
         assert common[i] == n
+
+
+def test_places_of_a_string_stay_with_their_chunk(spark, monkeypatch):
+    monkeypatch.setattr(superkmers, "OFTEN", 1)
+    rows = [(i % 3, x * 4000) for i, x in enumerate(["a", "a", "a", "b", "b ", "a"])] + [(None, "a" * 60), (0, "b" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for cut, order in ((Cut(50, 16, False), 0), (Cut(50, 16, False), None), (Cut(8, 2, True), None)):
+        stock = superkmers.chunks(docs.select("doc_id", "text"))
+        sent = superkmers.strings(stock, superkmers.repeated_minimisers(stock, cut, 4), cut, 4, order).where("bucket >= 0").collect()
+        size = sum(len(superkmers.zstandard.ZstdDecompressor().decompress(r.strings)) for r in sent)
+        assert 0 < size < 10_000  # not several bytes for each of some thousand places
+    assert bytes_(spark, rows) == brute_bytes(rows, 50)
+    assert words(spark, rows, k=8, m=2) == brute_words(rows, 8)
