@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from emberlog.llm import decontaminate, language_id, packing, quality_classifier, quality_rules, sharding, simhash_dedup, substring_dedup, suffix_dedup, warc
+from emberlog.llm import (
+    decontaminate, language_id, lexical_search, packing, quality_classifier, quality_rules, resampling, sharding, simhash_dedup, substring_dedup,
+    suffix_dedup, toxicity, warc)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_simhash_near_dedup": simhash_dedup.op10_simhash_near_dedup,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_importance_resampling": resampling.op12_importance_resampling,
+    "op13_ranked_search": lexical_search.op13_ranked_search,
 }
 
 ORACLE = {
@@ -23,4 +28,6 @@ ORACLE = {
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
+    "op12_importance_resampling": resampling.ORACLE,
+    "op13_ranked_search": lexical_search.ORACLE,
 }

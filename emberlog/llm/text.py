@@ -66,9 +66,9 @@ def _powers(base: int) -> np.ndarray:
 _WORD_POWERS = _powers(0x9E3779B97F4A7C15)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and past-the-end byte of every word, and the offsets of each row's words. Rows end words."""
-    inside = ~SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and past-the-end byte of every word, and the offsets of each row's words. Rows end words, and so do bytes ``between`` them."""
+    inside = ~between[data]
     first, last = inside.copy(), inside.copy()
     if data.size:
         first[1:] &= ~inside[:-1]
