@@ -23,8 +23,8 @@ from emberlog.llm.quality_classifier import calibrate
 from emberlog.llm.text import concatenated, id_hash, mix, steps, table, word_hashes
 
 #: Labelled rows that a fit sees at most, and their entries (an n-gram and its share of a document) in total.
-SAMPLE = 16_384
-SAMPLE_ENTRIES = 1 << 24
+SAMPLE = 8192
+SAMPLE_ENTRIES = 1 << 25
 
 #: N-grams are hashed to so many bits, and are of so many characters.
 HASH_BITS = 20
@@ -186,7 +186,14 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: i
     examples = named.join(F.broadcast(chosen), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "label", "text")  # bounded by the sample
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, 3):
+        seen = set()  # at most the sample
+
+        def new(batch: pa.RecordBatch) -> pa.RecordBatch:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            fresh = [k not in seen and not seen.add(k) for k in keys]
+            return batch if all(fresh) else batch.filter(pa.array(fresh, pa.bool_()))
+
+        for step in steps(map(new, batches), 3):
             found = [np.zeros(0, np.int64)] * 2
             for row, word, times, gram, offsets in bags(step.column(3)):
                 n = np.diff(offsets)[word]
@@ -199,10 +206,11 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: i
             yield pa.RecordBatch.from_arrays([*step.columns[:3], *lists], names=["doc_id", "text_hash", "label", "features", "times"])
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label, features, times, size = [], [], [], 0
+        label, features, times, size, last = [], [], [], 0, None
         for batch in batches:
-            for i, (mark, f, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))):
-                if f.values is not None and len(f.values) and size + len(f.values) <= entries:
+            for *key, mark, f, t in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3), batch.column(4)):
+                again, last = key == last, key
+                if not again and len(f.values) and size + len(f.values) <= entries:
                     label.append(mark)
                     features.append(f.values.to_numpy())
                     times.append(t.values.to_numpy())
@@ -214,8 +222,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: i
         yield pa.record_batch([[model.values.tobytes()], [model.bias], [model.scale], [model.slope], [model.shift]], ["weights", "bias", "scale", "slope", "shift"])
 
     seen = examples.mapInArrow(look, "doc_id bigint, text_hash bigint, label int, features array<int>, times array<float>")
-    once = seen.groupBy("doc_id", "text_hash").agg(F.first("label").alias("label"), F.first("features").alias("features"), F.first("times").alias("times"))
-    ordered = once.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").select("label", "features", "times")
+    ordered = seen.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash")
     row = ordered.mapInArrow(learn, "weights binary, bias double, scale double, slope double, shift double").first()
     if row is None:
         return fit(np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0, np.int64))
