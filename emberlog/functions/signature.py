@@ -1,6 +1,6 @@
 """Signatures, endpoint templates, error kinds and other values read out of log lines.
 
-The patterns are plain regular expressions without lookaround or back references.
+The fixed patterns are plain regular expressions without lookaround or back references.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from .clock import col
 SIGNATURE_PATTERN = r"^\[[^\]]+\]:\[[^\]]+\]:\[[^\]]+\]$"
 SIGNATURE_PREFIX = r"^(\[[^\]]+\]:\[[^\]]+\]:\[[^\]]+\])[ ]*"
 FRAME_PATTERN = r"(?:^|[ \t\r\n])at ([A-Za-z0-9_.$<>]+)\("
+CALL_PATTERN = r"Call to ([A-Za-z0-9_]+(?:\.[A-Za-z0-9_]+)+) "
+SERVICE_SUFFIX = r"-api$"
 EXCEPTION_PATTERN = r"([A-Za-z0-9_]+(?:Exception|Error))"
 
 # Placeholders for the parts of a message that change from line to line, in order. The last
@@ -71,12 +73,8 @@ def mask_tokens(text: Column | str, masks: Sequence[tuple[str, str, str]] = MASK
 
 def endpoint_template(url: Column | str) -> Column:
     """Path of a URL or path, without query and fragment, each all-digit segment turned into ``*``."""
-    path = F.regexp_replace(col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "")
-    path = F.regexp_replace(path, r"[?#].*$", "")
-    # A slash is consumed by each match, so neighbours need a second turn.
-    for _ in range(2):
-        path = F.regexp_replace(path, r"/[0-9]+(/|\.|$)", "/*$1")
-    return F.when(path == "", F.lit("/")).otherwise(path)
+    path = F.regexp_extract(col(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    return F.regexp_replace(F.regexp_replace(path, r"/[0-9]+(?=/|\.|$)", "/*"), "^$", "/")
 
 
 def status_class(status: Column | str) -> Column:
@@ -90,6 +88,17 @@ def exception_class(text: Column | str) -> Column:
     return F.when(found != "", found)
 
 
+def called_operation(text: Column | str) -> Column:
+    """The operation a message says was called, ``Target.method``, or null."""
+    found = F.regexp_extract(col(text), CALL_PATTERN, 1)
+    return F.when(found != "", found)
+
+
+def service_name(service: Column | str) -> Column:
+    """The service as signatures name it: ``ORDERS`` for orders-api."""
+    return F.upper(F.regexp_replace(col(service), SERVICE_SUFFIX, ""))
+
+
 def top_frame(text: Column | str) -> Column:
     """The first call of a stack trace in the text, ``package.Class.method``, or null."""
     found = F.regexp_extract(col(text), FRAME_PATTERN, 1)

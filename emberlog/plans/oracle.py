@@ -208,11 +208,15 @@ ORACLE: dict[str, str] = {
         SELECT format, event_id, CASE event_id % 10 WHEN 3 THEN 'malformed'
           WHEN 4 THEN 'bad value: ' || CASE format WHEN 'json' THEN 'status_code' ELSE 'event_id' END ELSE 'ok' END AS outcome FROM events, f)
         SELECT format, outcome, count(*) AS n, count(*) AS lines_kept FROM k GROUP BY ALL""",
-    "derived_signatures": f"""WITH {LOGS}, s AS (SELECT CASE
-          WHEN status_code >= 500 AND event_id % 3 = 0 THEN 'PaymentException]:[shop.Pay.charge'
-          WHEN event_id % 3 = 2 THEN 'checkout]:[' || CASE WHEN status_code >= 500 THEN 'DEPENDENCY_FAILURE' ELSE '2xx' END
-          ELSE '/orders/*/items]:[' || (status_code // 100) || 'xx' END AS rest, service_id FROM logs)
-        SELECT '[' || upper(service_id) || ']:[' || rest || ']' AS log_signature, count(*) AS n FROM s GROUP BY ALL""",
+    "derived_signatures": f"""WITH {LOGS}, s AS (SELECT CASE event_id % 6
+          WHEN 0 THEN CASE WHEN status_code >= 500 THEN upper(service_id) || ']:[PaymentException]:[shop.Pay.charge'
+                           ELSE upper(service_id) || ']:[/orders/*/items]:[' || (status_code // 100) || 'xx' END
+          WHEN 1 THEN 'UNKNOWN]:[UNKNOWN]:[' || (status_code // 100) || 'xx'
+          WHEN 2 THEN upper(service_id) || ']:[checkout]:[' || CASE WHEN status_code >= 500 THEN 'DEPENDENCY_FAILURE' ELSE '2xx' END
+          WHEN 3 THEN 'ORDERS]:[/orders/*]:[' || (status_code // 100) || 'xx'
+          WHEN 4 THEN 'PAYMENTS]:[PaymentGateway.charge]:[TIMEOUT'
+          ELSE 'CHECKOUT]:[OrderValidationException]:[VALIDATION' END AS rest FROM logs)
+        SELECT '[' || rest || ']' AS log_signature, count(*) AS n FROM s GROUP BY ALL""",
     "mixed_versions": f"WITH {MIXED} SELECT * FROM mixed",
     "version_filter": f"WITH {MIXED} SELECT event_id, service_id, schema_version FROM mixed WHERE schema_version = 2",
     "append_readback": f"WITH {LOGS} SELECT {V2} FROM logs WHERE {BURST}",

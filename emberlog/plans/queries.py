@@ -171,14 +171,19 @@ def unlabelled_rows(spark, d):
 def derived_signatures(spark, d):
     """Signatures from raw rows whose endpoints carry ids and whose messages carry traces."""
     logs = events.logs(spark, d)
-    third = F.pmod("event_id", F.lit(3))
+    turn = F.pmod("event_id", F.lit(6))
     raw = logs.select(
-        "event_id", "timestamp", "service_id", "status_code",
-        F.concat(F.lit("/orders/"), F.col("event_id").cast("string"), F.lit("/items")).alias("endpoint"),
-        F.when((F.col("status_code") >= 500) & (third == 0), F.concat(F.lit("PaymentException: "), F.col("event_id").cast("string"),
-                                                                     F.lit("\n\tat shop.Pay.charge(Pay.java:7)\n\tat shop.Main.run(Main.java:1)")))
+        "event_id", "timestamp", "status_code",
+        F.when(turn == 3, "orders-api").when(turn == 4, "payments").when(turn == 5, "checkout").when(turn != 1, F.col("service_id")).alias("service_id"),
+        F.when(turn == 3, F.concat(F.lit("/orders/"), F.col("event_id").cast("string")))
+         .when(turn != 1, F.concat(F.lit("/orders/"), F.col("event_id").cast("string"), F.lit("/items"))).alias("endpoint"),
+        F.when(turn == 3, F.concat(F.lit("GET /orders/"), F.col("event_id").cast("string"), F.lit(" failed with status 502 upstream timeout")))
+         .when(turn == 4, F.concat(F.lit("Call to PaymentGateway.charge failed: TimeoutException after "), F.col("event_id").cast("string"), F.lit("ms")))
+         .when(turn == 5, F.lit("OrderValidationException: missing field 'shippingAddress'"))
+         .when((F.col("status_code") >= 500) & (turn == 0), F.concat(F.lit("PaymentException: "), F.col("event_id").cast("string"),
+                                                                    F.lit("\n\tat shop.Pay.charge(Pay.java:7)\n\tat shop.Main.run(Main.java:1)")))
          .when(F.col("status_code") >= 500, F.lit("upstream failed")).otherwise(F.lit("ok")).alias("log_payload"),
-        F.when(third == 2, F.lit("checkout")).alias("operation"))
+        F.when(turn == 2, F.lit("checkout")).alias("operation"))
     return adapters.derived(raw).groupBy("log_signature").agg(F.count(F.lit(1)).alias("n"))
 
 

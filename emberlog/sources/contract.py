@@ -74,13 +74,23 @@ def check_contract(df: DataFrame, schema: StructType) -> DataFrame:
     raise ContractError("; ".join(lines or [f"order is {[n for n, _ in have]}"]))
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` in order and type; absent ones take their default, or null."""
+def conform(df: DataFrame, schema: StructType, errors: str | None = None) -> DataFrame:
+    """Columns of ``schema`` in order and type; absent ones take their default, or null.
+
+    A value that cannot be cast is null. ``errors`` names a further column that lists the columns where that happened, after
+    what a column of that name in ``df`` says already; null where nothing is wrong.
+    """
     present = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in present else F.lit(DEFAULTS.get(f.name))).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    out = [F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in present
+           else F.lit(DEFAULTS.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if errors:
+        lost = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                for f in schema.fields if f.name in present]
+        lost = F.array_join(F.array_compact(F.array(*lost)), ", ") if lost else F.lit("")
+        said = F.when(lost != "", F.concat(F.lit("bad value: "), lost))
+        own = F.col(errors) if errors in present else F.lit(None)
+        out.append(F.nullif(F.concat_ws("; ", own, said), F.lit("")).alias(errors))
+    return df.select(*out)
 
 
 def range_violations(df: DataFrame) -> DataFrame:

@@ -67,3 +67,11 @@ def test_big_context_is_joined_by_shuffles_without_a_broadcast_of_it(spark, monk
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name,parse", [("json_adapter", "from_json("), ("text_adapter", "regexp_replace(value")])
+def test_a_line_is_parsed_once(spark, sf_dir, name, parse):
+    """Types, errors, signatures and levels all follow from one parse."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.replace("from_json(StructField", "from_json(").count(parse) == 1
+    assert plan.count("Generate inline") >= 3

@@ -53,7 +53,33 @@ def test_derived_signatures_carry_no_ids(spark):
     df = spark.createDataFrame(rows, "service_id string, endpoint string, status_code int, log_payload string, operation string")
     got = adapters.derived(df.withColumn("timestamp", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")))
     assert {r.log_signature for r in got.select("log_signature").distinct().collect()} == {
-        "[ORDERS]:[/orders/*]:[5xx]", "[ORDERS]:[BadError]:[x.Y.z]", "[ORDERS]:[pay]:[TIMEOUT]", "[ORDERS]:[AnError]:[5xx]"}
+        "[ORDERS]:[/orders/*]:[5xx]", "[ORDERS]:[BadError]:[x.Y.z]", "[ORDERS]:[pay]:[TIMEOUT]", "[ORDERS]:[AnError]:[UNEXPECTED]"}
+
+
+@pytest.mark.parametrize("service,endpoint,status,message,want", [
+    ("orders-api", "/orders/123", 502, "GET /orders/123 failed with status 502 upstream timeout", "[ORDERS]:[/orders/*]:[5xx]"),
+    ("payments", None, None, "Call to PaymentGateway.charge failed: TimeoutException after 2000ms", "[PAYMENTS]:[PaymentGateway.charge]:[TIMEOUT]"),
+    ("checkout", "/c", 400, "OrderValidationException: missing field 'shippingAddress'", "[CHECKOUT]:[OrderValidationException]:[VALIDATION]"),
+    (None, None, 200, None, "[UNKNOWN]:[UNKNOWN]:[2xx]"), ("a", "/x", None, "ok", "[A]:[/x]:[UNKNOWN]")])
+def test_signatures_of_raw_messages(spark, service, endpoint, status, message, want):
+    df = spark.createDataFrame([(service, endpoint, status, message)], "service_id string, endpoint string, status_code int, log_payload string")
+    assert adapters.derived(df.withColumn("timestamp", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))).first()["log_signature"] == want
+
+
+def test_the_separator_in_a_line_shifts_nothing(spark):
+    lines = spark.createDataFrame([("1 a\u0001b c",), ("1 a b\u0001c",), ("1 a b",)], "value string")
+    got = adapters.from_text_logs(lines, "^([0-9]+) ([^ ]+) (.*)$", ["n", "x", "y"], {"n": "n", "x": "x", "y": "y"}, {"n": "int"})
+    assert [(r.n, r.x, r.y, r.parse_error) for r in got.collect()] == [(None, None, None, "malformed")] * 2 + [(1, "a", "b", None)]
+
+
+def test_values_that_do_not_fit_are_null_and_named(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    schema = StructType([StructField("status_code", IntegerType()), StructField("endpoint", StringType())])
+    a = spark.createDataFrame([("200", "/x"), ("oops", "/y")], "status_code string, endpoint string")
+    b = spark.createDataFrame([(500, "earlier")], "status_code int, parse_error string")
+    got = adapters.union_sources(a, b, schema=schema, errors="parse_error").collect()
+    assert [tuple(r) for r in got] == [(200, "/x", None), (None, "/y", "bad value: status_code"), (500, None, "earlier")]
+    assert adapters.union_sources(a, b, schema=schema).columns == ["status_code", "endpoint"]
 
 
 def test_every_line_gives_a_row(spark):
