@@ -52,12 +52,24 @@ def counted(shard: Shard, cut: Cut) -> np.ndarray:
     return out
 
 
+def _cut(raw: bytes, low: int, high: int, starts: np.ndarray, keep: np.ndarray) -> bytes:
+    """raw[low:high] without the words, which begin at ``starts``, that are not kept."""
+    edges = np.flatnonzero(np.diff(np.r_[True, keep, True].astype(np.int8))).tolist()  # where removed runs begin and end, in turn
+    places, parts, at = [*starts.tolist(), high], [], low
+    for first, past in zip(edges[::2], edges[1::2]):
+        parts.append(raw[at:places[first]])
+        at = places[past]
+    return b"".join([*parts, raw[at:high]])
+
+
 def without_repeats(docs: DataFrame, k: int = 35, m: int = 4) -> DataFrame:
     """All columns of ``docs``, with its text cut and n_words, n_removed, kept_sha256 added.
 
     The words of a text are what stands between white space (blank and \\t to \\r). Every word that is covered by a window
-    of ``k`` words that also starts anywhere else in the table is removed, all its occurrences included. The text is the kept words,
-    joined by one blank. A null text has no words and stays null; an empty one stays empty. Repeated rows repeat each
+    of ``k`` words that also starts anywhere else in the table is removed, all its occurrences included. A removed word goes with the white
+    space after it; the rest of the text stays as it was, and so does the whole of a text that loses no word. kept_sha256 is that of
+    the kept words joined by one blank. A null text has no words and stays null; an empty one stays empty. Very long texts are
+    held whole by their task, with some 40 bytes for each word. Repeated rows repeat each
     other's windows, whatever their doc_id, which may be null. An empty table gives an empty result. Columns of ``docs``
     named like the added ones are replaced.
     """
@@ -69,18 +81,19 @@ def without_repeats(docs: DataFrame, k: int = 35, m: int = 4) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for body, rest, ranges in superkmers._each(batches):
             data, offsets = superkmers.unpack(body, np.uint8, np.int64)
-            _, _, bounds = word_spans(data, offsets)
+            starts, _, bounds = word_spans(data, offsets)
             keep = ~superkmers.marked_units(bounds, ranges)
-            raw, texts = data.tobytes(), []
+            raw, texts, digests = data.tobytes(), [], []
             for a, b, x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
-                words = raw[a:b].split()
-                texts.append(b" ".join(words if keep[x:y].all() else compress(words, keep[x:y].tolist())))
+                words, own = raw[a:b].split(), keep[x:y]
+                texts.append(raw[a:b] if own.all() else _cut(raw, a, b, starts[x:y], own))
+                digests.append(hashlib.sha256(b" ".join(compress(words, own.tolist()))).hexdigest())
             rest = superkmers.rest_of(rest)
             removed = np.r_[0, np.cumsum(~keep)]
             columns = rest.columns[:-1]
             columns.insert(place, pa.array([None if gone else t.decode() for t, gone in zip(texts, rest.columns[-1].to_pylist())], pa.string()))
             columns += [pa.array(np.diff(bounds)), pa.array(removed[bounds[1:]] - removed[bounds[:-1]]),
-                        pa.array([hashlib.sha256(t).hexdigest() for t in texts])]
+                        pa.array(digests)]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names] + [f"{c} {t}" for c, t in added.items()])

@@ -37,6 +37,9 @@ def test_every_stage_on_its_own_input(spark, tmp_path):
             got = {r.doc_id: r for r in out.collect()}
             assert {k: r.text for k, r in got.items()} == {k: t for k, (t, _) in want.items()}
             assert all(r.n_chars == len(r.text) for k, r in got.items() if want[k][1])
+            before = {r.doc_id: r for r in docs.collect()}
+            assert all(tuple(r) == tuple(before[k]) for k, r in got.items() if not want[k][1])
+            assert sum("\n" in r.text for k, r in got.items() if not want[k][1]) > 50
         if i == 3:
             clean = {k for k, _, n, _ in contaminated(rows, bench) if not n}
             assert kept(out) == [r for r in kept(docs) if r[0] in clean] and out.count() < len(rows)
@@ -58,6 +61,20 @@ def test_odd_rows_through_every_stage(spark):
             stage(spark, docs.selectExpr("*", "1 AS score", "2 AS found", "3 AS chunk", "4 AS root"), sf).collect()
 
 
+def test_what_the_stages_do_with_odd_rows(spark):
+    """Nulls, empty texts, repeated rows: stage by stage, on rows of its own."""
+    docs = odd(spark)
+    cut = sorted(((r.doc_id, r.text, r.n_chars) for r in C.cut_repeated_passages(spark, docs, "").collect()), key=repr)
+    assert cut == sorted([(1, None, 0), (1, None, 0), (None, "", None), (None, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1), (3, "", 0)], key=repr)
+    clean = C.drop_contaminated(spark, docs, "/root/testdata/sf0.001")
+    assert kept(clean) == kept(docs)
+    good = C.keep_quality(spark, docs, "/root/testdata/sf0.001")
+    assert Counter(kept(good)) - Counter(kept(docs)) == Counter()
+    packed = C.pack(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.length) for r in packed if r.doc_id in (1, None)) == Counter(
+        {(1, 1): 2, (None, 1): 1, **Counter((None, r.length) for r in packed if r.doc_id is None and r.length > 1)})
+
+
 def test_one_row_of_each_component(spark):
     got = Counter((r.doc_id, (r.text or "")[:3]) for r in C.keep_one_of_near_duplicates(spark, odd(spark), "").collect())
     assert got == Counter({(1, ""): 1, (2, "wor"): 1, (3, "x"): 1, (3, "y z"): 1})

@@ -1,6 +1,7 @@
 """Passages of words and bytes that repeat, against brute force, on small windows and small pieces."""
 
 import hashlib
+import re
 import random
 from collections import Counter
 
@@ -20,7 +21,11 @@ def brute_words(rows, k):
     for (key, text), w in zip(rows, texts):
         gone = {i + j for i in range(len(w) - k + 1) if seen[tuple(w[i:i + k])] > 1 for j in range(k)}
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
-        out.append((key, None if text is None else kept.decode(), len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+        left, spans = text, [m.span() for m in re.finditer("[^\x20\x09-\x0D]+", text or "")]
+        if gone:  # every removed word goes with the white space after it
+            ends = [a for a, _ in spans[1:]] + [len(text)]
+            left = text[:spans[0][0]] + "".join(text[a:b] for i, ((a, _), b) in enumerate(zip(spans, ends)) if i not in gone)
+        out.append((key, left, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
 
 
