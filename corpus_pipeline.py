@@ -14,7 +14,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts to be good; it learns from the labels of these documents."""
+    """Documents that the quality classifier predicts to be good; it learns from the labels of these documents.
+
+    Null and empty texts have the score of the bias alone and stay or go together. Each of several equal rows stays or goes by its
+    text. An empty table gives an empty result, columns other than those of documents are dropped.
+    """
     model = quality_classifier.trained(docs, table(spark, sf_dir, "labels"))
     return quality_classifier.scored(docs.select(*COLUMNS), model).where(F.col("score") >= quality_classifier.THRESHOLD).select(*COLUMNS)
 
@@ -41,19 +45,33 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 35 words or more that occur more than once."""
+    """Texts without the passages of 35 words or more that occur more than once.
+
+    Every row stays. A row that loses no word stays as it is; of others the text loses these words, and n_chars is counted anew. Null
+    and empty texts stay; a text may become empty. Equal rows with 35 words or more are each other's repeats. An empty
+    table gives an empty result, columns other than those of documents are dropped.
+    """
     cut = substring_dedup.without_repeats(docs.select(*COLUMNS))
     changed = F.col("n_removed") > 0
     return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Null and empty texts have no words and stay, as do all rows if the benchmark is empty or has no words. Equal rows stay or go together. An
+    empty table gives an empty result, columns other than those of documents are dropped.
+    """
     scanned = decontaminate.contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
     return scanned.where(F.col("found.n_hit") == 0).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 1,024 tokens.
+
+    A null text is packed like an empty one: as its end token. Every row is packed, also where rows or ids repeat, or the id is null. An
+    empty table gives an empty result, columns other than doc_id and text are not looked at.
+    """
     return packing.packed(docs, packing.public_tokenizer("byte_bpe_50k.json"))
 
 
