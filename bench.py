@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from emberlog.functions.clock import in_range
 from emberlog.operators import context, evaluate, rollup, whatif
-from emberlog.plans import model, view
+from emberlog.plans import model, trees, view
 from emberlog.plans.queries import QUERIES, trained
 from emberlog.session import build_session, pinned
 from emberlog.sources import events
@@ -26,7 +26,7 @@ HEADLINE = (
     "scored_between", "rolling_latency", "seasonal_baseline", "score_by_label", "threshold_p90", "validation_report", "top_scores",
     "top_n_per_hour", "service_percentiles", "service_thresholds", "p99_latency_rule", "incident_labels", "tag_labels",
     "signature_rarity", "mask_tokens", "text_features", "payload_score", "outlier_zscore", "sliding_alerts",
-    "zscore_alerts", "alert_examples", "burst_whatif", "stream_rollup", "stream_scored", "live_view", "adapter_rejects",
+    "zscore_alerts", "alert_examples", "sketch_percentiles", "isolation_score", "burst_whatif", "stream_rollup", "stream_scored", "live_view", "adapter_rejects",
 )
 
 
@@ -42,7 +42,7 @@ def quality(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     f1 = evaluate.precision_recall_f1(evaluate.confusion(model.score(test, fitted), 0.0)).first()["f1"]
 
     batch = pinned(full.limit(100))
-    scored = model.score(batch, fitted)
+    scored = trees.BatchScorer(fitted).score(batch)
     scored.collect()
     start = time.perf_counter()
     for _ in range(10):

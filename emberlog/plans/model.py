@@ -23,6 +23,8 @@ ROUNDS, RATE, SEED, TRAIN_PERCENT = 500, 0.1, 42, 80
 DEPTH, MAX_BINS = 5, 128
 # A value seen n times counts its own label mean n times and the mean of all rows SMOOTH times.
 FOLDS, SMOOTH = 5, 10.0
+# Up to so many values of all categories together, their codes are part of the plan: no join, no broadcast.
+LOOKUP_VALUES = 512
 # What stands for a missing number, next to a flag that says so.
 MISSING = -1.0
 _VECTOR = "_features"
@@ -37,6 +39,7 @@ class Fitted:
     trees: PipelineModel
     codes: DataFrame
     prior: float
+    lookup: dict[str, dict[str | None, float]] | None = None
 
     @property
     def rounds(self) -> int:
@@ -52,6 +55,31 @@ def _inputs(numeric: Sequence[str], categorical: Sequence[str]) -> dict[str, Col
     return out | {f"_{c}": F.col(f"_code_{c}") for c in categorical}
 
 
+def _lookup(codes: DataFrame) -> dict[str, dict[str | None, float]] | None:
+    """The codes by feature and value, or None if there are more than LOOKUP_VALUES."""
+    found = codes.select("feature", "value", "code").limit(LOOKUP_VALUES + 1).collect()
+    if len(found) > LOOKUP_VALUES:
+        return None
+    out: dict[str, dict[str | None, float]] = {}
+    for r in found:
+        out.setdefault(r.feature, {})[r.value] = r.code
+    return out
+
+
+def _looked_up(rows: DataFrame, lookup: dict[str, dict[str | None, float]], categorical: Sequence[str], prior: float) -> DataFrame:
+    """The columns of :func:`_with_codes` from literal maps."""
+    out = {}
+    for c in categorical:
+        known = {v: code for v, code in lookup.get(c, {}).items() if v is not None}
+        value = F.col(c).cast("string")
+        code = F.when(value.isNull(), F.lit(lookup.get(c, {}).get(None, prior)))
+        if known:
+            pairs = [F.lit(x) for pair in known.items() for x in pair]
+            code = F.coalesce(code, F.try_element_at(F.create_map(*pairs), value))
+        out[f"_code_{c}"] = F.coalesce(code, F.lit(prior))
+    return rows.withColumns(out)
+
+
 def _with_codes(rows: DataFrame, codes: DataFrame, categorical: Sequence[str], prior: float, fold: Sequence[str] = ()) -> DataFrame:
     """Rows with ``_code_`` columns: the label mean of the value, of new values that of all rows. Null is a value."""
     for c in categorical:
@@ -102,7 +130,8 @@ def train(df: DataFrame, numeric: Sequence[str] = tuple(contract.NUMERIC_V2),
                           maxDepth=depth, maxBins=max_bins)
     fitted = Pipeline(stages=[assembler, trees]).fit(spark.read.schema(ready.schema).parquet(f"{work}/ready"))
     discard(spark, work)
-    return Fitted(tuple(numeric), tuple(categorical), fitted, spark.read.schema(codes.schema).parquet(path), prior)
+    codes = spark.read.schema(codes.schema).parquet(path)
+    return Fitted(tuple(numeric), tuple(categorical), fitted, codes, prior, _lookup(codes))
 
 
 def features_of(model: Fitted) -> list[str]:
@@ -110,10 +139,22 @@ def features_of(model: Fitted) -> list[str]:
     return [*model.numeric, *model.categorical]
 
 
+def inputs_of(model: Fitted) -> dict[str, Column]:
+    """The columns that :func:`encoded` adds for the trees, in their order."""
+    return _inputs(model.numeric, model.categorical)
+
+
+def encoded(df: DataFrame, model: Fitted) -> DataFrame:
+    """``df`` with the null-free inputs of the trees."""
+    if model.lookup is None:
+        rows = _with_codes(df, model.codes, model.categorical, model.prior)
+    else:
+        rows = _looked_up(df, model.lookup, model.categorical, model.prior)
+    return rows.withColumns(inputs_of(model))
+
+
 def _with(df: DataFrame, model: Fitted, **outputs) -> DataFrame:
-    rows = _with_codes(df, model.codes, model.categorical, model.prior)
-    inputs = _inputs(model.numeric, model.categorical)
-    scored = model.trees.transform(rows.withColumns(inputs))
+    scored = model.trees.transform(encoded(df, model))
     return scored.select(*df.columns, *[c.alias(name) for name, c in outputs.items()])
 
 
@@ -178,7 +219,8 @@ def save(model: Fitted, path: str) -> None:
 def load(spark: SparkSession, path: str, features: Sequence[str] = tuple(contract.FEATURES_V2)) -> Fitted:
     """A saved model; refused when its features are not the ones expected."""
     about = spark.read.parquet(f"{path}/about").first()
-    model = Fitted(tuple(about.numeric), tuple(about.categorical), PipelineModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/codes"), about.prior)
+    codes = spark.read.parquet(f"{path}/codes")
+    model = Fitted(tuple(about.numeric), tuple(about.categorical), PipelineModel.load(f"{path}/trees"), codes, about.prior, _lookup(codes))
     if features_of(model) != list(features):
         raise contract.ContractError(f"model takes {features_of(model)}")
     return model

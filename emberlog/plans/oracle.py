@@ -178,6 +178,39 @@ MASKED = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
 
 PLACE = "CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 100"
 
+def isolation_sql(features: tuple[str, ...], trees: int, tree_rows: int, depth: int) -> str:
+    """The forest grown and walked level by level; a node's children have twice its number, and one more."""
+    values = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in features) + "]"
+    pick = "CAST('0x' || substr(md5('42:' || tree || ':' || node), 1, 6) AS BIGINT)"
+    share = "CAST('0x' || substr(md5('42:' || tree || ':' || node), 7, 6) AS BIGINT) / 16777216.0::DOUBLE"
+    path = "CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1 ELSE 2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2 * (n - 1) / n END"
+    parts = [f"""WITH {LOGS},
+pool AS (SELECT {values} AS v, row_number() OVER (ORDER BY md5('42|' || event_id), event_id) - 1 AS k FROM logs),
+total AS (SELECT least(count(*), {trees * tree_rows}) AS n FROM pool),
+s0 AS MATERIALIZED (SELECT k % {trees} AS tree, 1 AS node, v FROM pool WHERE k < {trees * tree_rows}),
+r0 AS MATERIALIZED (SELECT event_id, {values} AS v, tree, 1 AS node FROM logs, (SELECT unnest(range({trees})) AS tree))"""]
+    for level in range(depth + 1):
+        last = "true" if level == depth else "n <= 1 OR low = high"
+        parts.append(f"""n{level} AS MATERIALIZED (
+  SELECT *, low + (high - low) * ({share}) AS cut, {last} AS leaf FROM (
+    SELECT tree, node, f, count(*) AS n, min(v[f + 1]) AS low, max(v[f + 1]) AS high
+    FROM (SELECT *, {pick} % {len(features)} AS f FROM s{level}) GROUP BY ALL)),
+e{level} AS (SELECT event_id, {level} + {path} AS path FROM r{level} JOIN n{level} USING (tree, node) WHERE leaf)""")
+        if level < depth:
+            for rows, own in (("s", ""), ("r", "event_id, ")):
+                parts.append(f"""{rows}{level + 1} AS MATERIALIZED (SELECT {own}v, tree, 2 * node + CAST(v[f + 1] >= cut AS INTEGER) AS node
+  FROM {rows}{level} JOIN n{level} USING (tree, node) WHERE NOT leaf)""")
+    # A side that no sampled row is on is a leaf without rows.
+    for level in range(1, depth + 1):
+        parts.append(f"x{level} AS (SELECT event_id, {level} AS path FROM r{level} ANTI JOIN n{level} USING (tree, node))")
+    ends = " UNION ALL ".join([f"SELECT * FROM e{level}" for level in range(depth + 1)] + [f"SELECT * FROM x{level}" for level in range(1, depth + 1)])
+    return ",\n".join(parts) + f""",
+paths AS (SELECT event_id, sum(path) AS path FROM ({ends}) GROUP BY 1),
+typical AS (SELECT {path} AS c FROM (SELECT CAST(ceil(n / {trees}.0) AS BIGINT) AS n FROM total))
+SELECT event_id, {', '.join(features)}, round(pow(2.0::DOUBLE, -path / ({trees} * c)), 6) AS anomaly_score
+FROM logs JOIN paths USING (event_id), typical"""
+
+
 ORACLE: dict[str, str] = {
     "envelope_v2": f"WITH {LOGS} SELECT {V2} FROM logs",
     "envelope_v1": f"""WITH {LOGS} SELECT event_id, timestamp, service_id, endpoint, status_code, response_time_ms,
@@ -443,4 +476,17 @@ ORACLE: dict[str, str] = {
                round(1 / (1 + exp(1 - velocity)), 6) AS anomaly_score
         FROM logs l JOIN ctx ON ctx.service_id = l.service_id
           AND ctx.window_start = date_trunc('minute', l.timestamp)""",
+    "batch_scores": "SELECT count(*) AS n, count(*) AS n_close FROM events",
+    "stream_rescored": f"""WITH {LOGS} {row_context('minute')}
+        SELECT l.event_id, l.service_id, round(coalesce(velocity, 1), 6) AS throughput_velocity,
+               round(coalesce(error_rate / nullif(then_rate, 0), 0), 6) AS error_acceleration,
+               CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge, round(1 / (1 + exp(1 - velocity)), 6) AS anomaly_score
+        FROM logs l JOIN ctx ON ctx.service_id = l.service_id AND ctx.window_start = date_trunc('minute', l.timestamp)""",
+    # The answers of sketches lie within their stated error; what they are is up to the sketch.
+    "sketch_percentiles": f"""WITH {LOGS} SELECT service_id, count(*) AS total_reqs, count(*) FILTER (WHERE status_code >= 500) AS error_reqs,
+        true AS p50_close, true AS p90_close, true AS p99_close, true AS distinct_close FROM logs GROUP BY 1""",
+    "sketch_hours": f"""WITH {LOGS} SELECT service_id, date_trunc('hour', timestamp) AS window_start, count(*) AS total_reqs,
+        count(*) FILTER (WHERE status_code >= 500) AS error_reqs, min(response_time_ms) AS least, max(response_time_ms) AS most,
+        count(DISTINCT log_signature) AS n_signatures FROM logs GROUP BY 1, 2""",
+    "isolation_score": isolation_sql(("status_code", "response_time_ms", "hour_of_day"), 16, 256, 8),
 }

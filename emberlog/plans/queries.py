@@ -11,11 +11,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import score as sc, signature as sig, text
 from ..functions.clock import day_of_week, in_range
-from ..operators import alerts, context, evaluate, labels, novelty, rank, rollup, whatif
+from ..operators import alerts, context, evaluate, isolation, labels, novelty, rank, rollup, sketches, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
 from ..streaming import live, state
-from . import model, report, view
+from . import model, report, trees, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -660,12 +660,52 @@ def outlier_mad(spark, d):
     return df.select("event_id", "service_id", "response_time_ms", "anomaly_score")
 
 
+ISOLATED = ("status_code", "response_time_ms", "hour_of_day")
+
+
+@query
+def isolation_score(spark, d):
+    """How easily a row is parted from the others by status, latency and hour."""
+    logs = events.logs(spark, d)
+    df = isolation.score(logs, isolation.fit(logs, ISOLATED, "event_id"))
+    return rounded(df.select("event_id", *ISOLATED, "anomaly_score"), "anomaly_score")
+
+
 @query
 def sigmoid_score(spark, d):
     df = scored_logs(spark, d).select("event_id", "anomaly_score", sc.sigmoid("anomaly_score").alias("probability"))
     return rounded(df, "probability")
 
 
+# --- mergeable states -------------------------------------------------------------------------------------------
+
+PERCENTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+@query
+def sketch_percentiles(spark, d):
+    """Latency percentiles and distinct signatures by service, from three batches of minute states merged to hours, then to services."""
+    logs = events.logs(spark, d)
+    parts = [sketches.sketch_rollup(logs.where(F.pmod("event_id", F.lit(3)) == i)) for i in range(3)]
+    minutes = sketches.merge_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    services = sketches.merge_sketches(sketches.coarser_sketches(minutes, "hour"), ["service_id"])
+    found = pinned(sketches.sketch_quantiles(services, PERCENTILES).select("service_id", "total_reqs", "error_reqs", *PERCENTILES, "n_categories"))
+    off = sketches.rank_errors(logs, found, "response_time_ms", PERCENTILES, "service_id")
+    exact = logs.groupBy("service_id").agg(F.count_distinct("log_signature").alias("n_signatures"))
+    close = [(F.col(name) <= sketches.RANK_ERROR).alias(f"{name}_close") for name in PERCENTILES]
+    judged = off.select("service_id", *close).join(exact, "service_id").join(found.drop(*PERCENTILES), "service_id")
+    count_close = F.abs(F.col("n_categories") - F.col("n_signatures")) <= F.col("n_signatures") * sketches.DISTINCT_ERROR
+    return judged.select("service_id", "total_reqs", "error_reqs", *[f"{name}_close" for name in PERCENTILES], count_close.alias("distinct_close"))
+
+
+@query
+def sketch_hours(spark, d):
+    """Hour states merged from minute states count like hours rolled up from the rows; their extremes are exact."""
+    hours = sketches.coarser_sketches(sketches.sketch_rollup(events.logs(spark, d)), "hour")
+    out = sketches.sketch_quantiles(hours, {"least": 0.0, "most": 1.0})
+    return out.select("service_id", "window_start", "total_reqs", "error_reqs", "least", "most", F.col("n_categories").alias("n_signatures"))
+
+
 # --- alerts ---------------------------------------------------------------------------------------------------------
 
 @query
@@ -791,6 +831,16 @@ def model_roundtrip(spark, d):
     return a.join(b, "event_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"))
 
 
+@query
+def batch_scores(spark, d):
+    """The scorer for small batches against the model's own scores, row by row."""
+    fitted = trained(spark, d)
+    rows = pinned(model_rows(spark, d).select("event_id", *contract.FEATURES_V2))
+    both = model.score(trees.BatchScorer(fitted).score(rows, "batch_score"), fitted)
+    close = F.abs(F.col("batch_score") - F.col("anomaly_score")) < 1e-9
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(close).alias("n_close"))
+
+
 @query
 def model_record(spark, d):
     path = fresh_dir(spark, "record")
@@ -902,6 +952,23 @@ def stream_scored_model(spark, d):
     return rounded(df, "throughput_velocity")
 
 
+@query
+def stream_rescored(spark, d):
+    """Rows that arrive out of order, a month's thirds as 1, 3, 2 and then late rows of all of it: every score follows what came later."""
+    source, root, sink, check = (fresh_dir(spark, n) for n in ("events", "partials", "scored", "stream"))
+    rows = events.read(spark, d)
+    late, third = F.pmod("event_id", F.lit(50)) == 7, F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    schema = rows.schema
+    for part in (rows.where(~late & (third == 0)), rows.where(~late & (third == 2)), rows.where(~late & (third == 1)), rows.where(late)):
+        part.write.mode("append").parquet(source)
+        stream = events.envelope(spark.readStream.schema(schema).parquet(source))
+        live.stream_rescored(stream, root, sink, check, lambda df: df.withColumn("anomaly_score", sc.sigmoid(F.col("throughput_velocity") - 1.0)),
+                             since=at("2000-01-01 00:00:00")).awaitTermination()
+    df = live.read_scored(spark, sink)
+    return rounded(df.select("event_id", "service_id", "throughput_velocity", "error_acceleration", "is_surge", "anomaly_score"),
+                   "throughput_velocity", "error_acceleration", "anomaly_score")
+
+
 @query
 def stream_scored(spark, d):
     """Rows scored as they arrive, by how busy their minute is."""

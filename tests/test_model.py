@@ -1,11 +1,13 @@
 """Training, scoring, and the harmless burst, on whole test tables."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from emberlog.operators import evaluate, rollup as ru, whatif
 from emberlog.plans import model as ml
-from emberlog.plans import view
+from emberlog.plans import trees, view
 from emberlog.session import pinned
 from emberlog.sources import contract, events
 
@@ -114,3 +116,29 @@ def test_far_rows_score_high_without_labels(spark):
     df = spark.createDataFrame(dense + [(-1, 350, 101)], "event_id int, status_code int, response_time_ms int")
     scored = ml.cluster_distance(df, ["status_code"], k=2)
     assert scored.count() == 201 and scored.orderBy(F.desc("anomaly_score")).first().event_id == -1
+
+
+def test_codes_in_the_plan_give_what_the_join_gives(spark, trained, monkeypatch):
+    fitted, _, test, _ = trained
+    odd = test.limit(3).withColumns({"endpoint": F.lit(None).cast("string"), "service_id": F.lit("never seen"), "response_time_ms": F.lit(None).cast("bigint")})
+    rows = test.unionByName(odd)
+    assert fitted.lookup is not None and set(fitted.lookup) == set(contract.CATEGORICAL_V2)
+    joined = replace(fitted, lookup=None)
+    assert ml.score(rows, fitted).exceptAll(ml.score(rows, joined)).isEmpty()
+    monkeypatch.setattr(ml, "LOOKUP_VALUES", 3)
+    assert ml._lookup(fitted.codes) is None
+
+
+def test_the_scorer_for_small_batches_gives_the_scores_of_the_model(spark, trained, monkeypatch):
+    fitted, _, test, _ = trained
+    odd = test.limit(3).withColumns({"endpoint": F.lit(None).cast("string"), "response_time_ms": F.lit(None).cast("bigint")})
+    rows = test.unionByName(odd).withColumn("anomaly_score", F.lit("replaced"))
+    monkeypatch.setattr(trees, "WALK", 50)
+    scorer = trees.BatchScorer(fitted)
+    assert len(scorer.trees.value.roots) == ROUNDS
+    for model in (scorer, trees.BatchScorer(replace(fitted, lookup=None))):
+        got = model.score(rows)
+        assert got.columns == [*test.columns, "anomaly_score"] and got.count() == rows.count()
+        both = ml.score(model.score(rows, "batch_score").drop("anomaly_score"), fitted)
+        assert both.where(F.abs(F.col("batch_score") - F.col("anomaly_score")) < 1e-9).count() == rows.count()
+    assert scorer.score(rows.limit(0)).collect() == []

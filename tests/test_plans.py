@@ -17,7 +17,7 @@ def plan(df) -> str:
 
 
 # The model queries train while they are put together; test_oracle runs them.
-MODEL = {"model_quality", "model_roundtrip", "model_record", "burst_quiet"}
+MODEL = {"batch_scores", "model_quality", "model_roundtrip", "model_record", "burst_quiet"}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - MODEL))

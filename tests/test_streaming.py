@@ -9,7 +9,7 @@ from emberlog.operators import alerts, context as ctx, rollup as ru
 from emberlog.plans import view
 from emberlog.sources import contract, events, tables
 from emberlog.streaming import live, state
-from tests.helpers import BASE, log, logs
+from tests.helpers import BASE, log, logs, series
 
 SF = "/root/testdata/sf0.001"
 KEY = ["service_id", "window_start"]
@@ -69,6 +69,46 @@ def test_stream_scored_counts_what_was_seen_so_far(spark, tmp_path):
     assert {round(r.anomaly_score, 6) for r in out.where("endpoint = '/new'").collect()} == {round(10 / 1.9, 6)}
 
 
+@pytest.mark.parametrize("chunk_rows", [None, 70])
+def test_stale_buckets_are_the_touched_ones_and_sixty_rows_after(spark, chunk_rows):
+    merged = series(spark, [1] * 300, skip=range(100, 110))
+    touched = spark.createDataFrame([("svc-a", BASE + timedelta(minutes=m)) for m in (20, 95, 250)], "service_id string, window_start timestamp_ntz")
+    got = {(r.window_start - BASE).seconds // 60 for r in live.stale_buckets(merged, touched, chunk_rows).collect()}
+    assert got == {*range(20, 81), *range(95, 100), *range(110, 166), *range(250, 300)}
+
+
+def test_scores_follow_late_rows_and_replays(spark, tmp_path):
+    """Minutes arrive in a shuffled order; after each batch every row has the score of the batch operator over all rows so far."""
+    path, root, sink, check = (str(tmp_path / n) for n in ("in", "p", "s", "c"))
+    rows = [log(ts=BASE + timedelta(minutes=i), service=s, endpoint=f"/{i}") for s in ("a", "b") for i in range(100) for _ in range(1 + (i * 7 + len(s)) % 4)]
+    parts = [rows[60:140], rows[:60], rows[140:], [log(ts=BASE + timedelta(minutes=3), service="a", endpoint="/late")] * 30]
+
+    def scorer(df):
+        return df.withColumn("anomaly_score", F.col("throughput_velocity") + F.col("is_surge"))
+
+    def start():
+        stream = spark.readStream.schema(contract.V2_SCHEMA).parquet(path)
+        live.stream_rescored(stream, root, sink, check, scorer).awaitTermination()
+
+    def values(df):
+        return sorted((r.service_id, r.timestamp, r.endpoint, round(r.throughput_velocity, 9), round(r.anomaly_score, 9)) for r in df.collect())
+
+    for part in parts:
+        logs(spark, part).coalesce(1).write.mode("append").parquet(path)
+        start()
+        so_far = spark.read.schema(contract.V2_SCHEMA).parquet(path)
+        assert values(live.read_scored(spark, sink)) == values(scorer(view.scored_context(so_far)))
+    versions = spark.read.parquet(f"{sink}/buckets")
+    assert versions.where("batch_id = 3 AND service_id = 'a'").count() == 61 and versions.where("batch_id = 3 AND service_id = 'b'").count() == 0
+    # A batch that runs again, as after a crash before its commit, replaces what it wrote.
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    commits[-1].unlink()
+    (tmp_path / "c" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    before = values(live.read_scored(spark, sink))
+    start()
+    assert values(live.read_scored(spark, sink)) == before
+
+
 def test_live_view_knows_the_context_of_rows_that_came_later(spark, tmp_path):
     name = "live_view_logs"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
