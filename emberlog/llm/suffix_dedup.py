@@ -33,7 +33,7 @@ QUEUE_TUPLES = 16 << 20
 INDUCED_NAMES = 1 << 10
 INDUCED_LEAST = 1 << 20
 
-_AT_ONCE = 1 << 17  # pieces that are Python objects at once
+_AT_ONCE = 1 << 19  # pieces that are told apart at once
 
 
 class BucketQueue:
@@ -110,18 +110,28 @@ def _smallest_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) ->
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, top: int) -> np.ndarray:
-    """Common prefixes of pairs of suffixes, up to ``top``."""
-    out = np.zeros(len(a), np.uint8)
+    """Common prefixes of pairs of suffixes, up to ``top``; several characters, side by side in one number, are compared at once."""
+    if not len(a):
+        return np.zeros(0, np.uint8)
+    lanes = 4 if text.dtype.itemsize <= 2 else 2
+    bits = 64 // lanes
+    packed = text.astype(np.uint64) << np.uint64(64 - bits)
+    for i in range(1, lanes):
+        packed[:-i] |= text[i:].astype(np.uint64) << np.uint64(64 - bits * (i + 1))
+    limit = np.minimum(len(text) - np.maximum(a, b), top)
+    out = np.zeros(len(a), np.int64)
     at = np.arange(len(a))
-    for i in range(top):
-        x, y = a[at] + i, b[at] + i
-        inside = (x < len(text)) & (y < len(text))
-        at, x, y = at[inside], x[inside], y[inside]
-        at = at[text[x] == text[y]]
+    for i in range(0, top, lanes):
+        at = at[limit[at] > i]
         if not at.size:
             break
-        out[at] += 1
-    return out
+        differ = packed[a[at] + i] ^ packed[b[at] + i]
+        same = np.full(len(at), i, np.int64)
+        for lane in range(1, lanes + 1):
+            same += (differ >> np.uint64(64 - bits * lane)) == 0
+        out[at] = same
+        at = at[differ == 0]
+    return np.minimum(out, limit).astype(np.uint8)
 
 
 class _Induction:
@@ -178,13 +188,15 @@ class _Induction:
 
 def _names(text: np.ndarray, s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
     """Numbers of the pieces from each LMS suffix to the next, both included, in the order of the pieces."""
-    wide = (text.astype(np.uint32) * 2 + s).astype(">u4").tobytes()
-    past = np.r_[lms[1:] + 1, len(text)] * 4
+    wide = (text.astype(np.uint32) * 2 + s).astype(">u2" if text.dtype.itemsize <= 2 and text.max() < 1 << 15 else ">u4")
+    sizes = np.r_[lms[1:] + 1, len(text)] - lms
     number: dict[bytes, int] = {}
     code = np.empty(len(lms), np.int64)
     for low in range(0, len(lms), _AT_ONCE):
-        spans = zip((lms[low:low + _AT_ONCE] * 4).tolist(), past[low:low + _AT_ONCE].tolist())
-        coded = pa.array([wide[a:b] for a, b in spans], pa.large_binary()).dictionary_encode()
+        own_sizes = sizes[low:low + _AT_ONCE]
+        data = wide[concatenated(lms[low:low + _AT_ONCE], own_sizes)].view(np.uint8)
+        edges = np.r_[0, np.cumsum(own_sizes)].astype(np.int64) * wide.itemsize
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own_sizes), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
         own = np.array([number.setdefault(piece, len(number)) for piece in coded.dictionary.to_pylist()])
         code[low:low + _AT_ONCE] = own[coded.indices.to_numpy()]
     pieces = list(number)
@@ -194,11 +206,10 @@ def _names(text: np.ndarray, s: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:
-    """The suffix array of a text of numbers, by doubling; suffixes that are alone in rank are left out of later rounds."""
+    """The suffix array of a text of numbers, all from 0 to the largest, by doubling; suffixes that are alone in rank are left out of later rounds."""
     n = len(names)
-    _, rank = np.unique(names, return_inverse=True)
-    rank = rank.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    rank = names.astype(np.int64)
+    order = np.argsort(rank)
     first = np.searchsorted(rank[order], np.arange(rank.max() + 1))
     rank = first[rank]
     step = 1
@@ -210,7 +221,7 @@ def _doubled(names: np.ndarray) -> np.ndarray:
             return order
         group = order[open_places]
         after = np.where(group + step < n, rank[np.minimum(group + step, n - 1)], -1)
-        by = np.lexsort((after, rank[group]))
+        by = np.argsort(rank[group] * (n + 1) + after)
         group, after = group[by], after[by]
         order[open_places] = group
         new = np.r_[True, (rank[group][1:] != rank[group][:-1]) | (after[1:] != after[:-1])]
