@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -59,7 +60,8 @@ def retained(rolled: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> Da
 #
 # Batches are numbered from 0; -1 is the backfill. Compaction writes the merged counts of a day under a number
 # below that, then a manifest row that says which batches it replaces, then deletes those. Readers take a compacted
-# batch only if the manifest has it, and no batch that is replaced, so a crash at any point changes no count.
+# batch only if the manifest has it, and no batch that is replaced, so a crash at any point changes no count. The manifest
+# lies in folders by day, too, and goes with its day when that expires.
 
 KEYS = ("service_id", "window_start", "hour_of_day")
 _MANIFEST = StructType([StructField("day", DateType()), StructField("replaced", LongType()), StructField("by", LongType())])
@@ -92,7 +94,7 @@ def _manifest(spark: SparkSession, root: str) -> list[tuple]:
     folder = f"{root}/_manifest"
     if not there(spark, folder):
         return []
-    return [tuple(r) for r in spark.read.schema(_MANIFEST).parquet(folder).collect()]
+    return [tuple(r) for r in spark.read.schema(_MANIFEST).parquet(folder).select("day", "replaced", "by").collect()]
 
 
 def read_partials(spark: SparkSession, root: str, since: Column | None = None) -> DataFrame:
@@ -120,17 +122,19 @@ def compact_partials(spark: SparkSession, root: str, before) -> int:
     """
     days = _stored_partials(spark, root).where(F.col("event_date") < F.lit(before)).select("event_date", "batch_id").distinct()
     known = _manifest(spark, root)
-    live = {(r.event_date, r.batch_id) for r in days.collect()} - {(d, b) for d, b, _ in known}
-    live -= {(d, b) for d, b in live if b < BACKFILL_BATCH and (d, b) not in {(d, n) for d, _, n in known}}
-    many = sorted((d, b) for d, b in live if sum(d == e for e, _ in live) > 1)
+    there_now, compacted = {(r.event_date, r.batch_id) for r in days.collect()}, {(d, n) for d, _, n in known}
+    live = there_now - {(d, b) for d, b, _ in known}
+    live = {(d, b) for d, b in live if b >= BACKFILL_BATCH or (d, b) in compacted}
+    per_day = Counter(d for d, _ in live)
+    many = sorted((d, b) for d, b in live if per_day[d] > 1)
     if many:
         number = min([BACKFILL_BATCH, *(n for _, _, n in known)]) - 1
         chosen = spark.createDataFrame(many, "event_date date, batch_id bigint")
         rows = _stored_partials(spark, root).join(F.broadcast(chosen), ["event_date", "batch_id"], "left_semi")
         _write(merge_partials(rows, KEYS), root, number)
         (spark.createDataFrame([(d, b, number) for d, b in many], _MANIFEST).coalesce(1)
-              .write.mode("append").parquet(f"{root}/_manifest"))
-    for day, batch, _ in _manifest(spark, root):  # also what a crash has left
+              .write.mode("append").partitionBy("day").parquet(f"{root}/_manifest"))
+    for day, batch in sorted(there_now & {(d, b) for d, b, _ in known} | set(many)):  # also what a crash has left
         discard(spark, f"{root}/event_date={day}/batch_id={batch}")
     return len(many)
 
@@ -140,4 +144,5 @@ def expire_partials(spark: SparkSession, root: str, before) -> int:
     days = _stored_partials(spark, root).where(F.col("event_date") < F.lit(before)).select("event_date").distinct().collect()
     for row in days:
         discard(spark, f"{root}/event_date={row.event_date}")
+        discard(spark, f"{root}/_manifest/day={row.event_date}")
     return len(days)

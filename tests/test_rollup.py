@@ -1,4 +1,4 @@
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -66,3 +66,21 @@ def test_retention_keeps_the_edge(spark):
     as_of = F.lit(str(BASE + timedelta(days=29))).cast("timestamp_ntz")
     kept = [r.window_start for r in ru.retained(df, as_of).collect()]
     assert min(kept) == BASE + timedelta(days=15) and len(kept) == 15
+
+
+def test_the_manifest_goes_with_its_days(spark, tmp_path):
+    """Compactions of many batches, twice, then an expiry: only what is left of the store is left of the manifest."""
+    root = str(tmp_path / "p")
+    rows = [log(ts=BASE.replace(day=d)) for d in (1, 2, 3)]
+    for n in range(6):
+        ru.write_partials(logs(spark, rows), root, n)
+    assert ru.compact_partials(spark, root, date(2025, 3, 3)) == 12 and ru.compact_partials(spark, root, date(2025, 3, 3)) == 0
+    ru.write_partials(logs(spark, rows), root, 6)
+    assert ru.compact_partials(spark, root, date(2025, 3, 4)) == 2 + 2 + 7
+    assert {r.window_start.day: r.total_reqs for r in ru.merge_partials(ru.read_partials(spark, root)).collect()} == {1: 7, 2: 7, 3: 7}
+    assert len(ru._manifest(spark, root)) == 12 + 4 + 7
+    assert ru.expire_partials(spark, root, date(2025, 3, 3)) == 2
+    assert {d.day for d, _, _ in ru._manifest(spark, root)} == {3} and len(ru._manifest(spark, root)) == 7
+    assert ru.expire_partials(spark, root, date(2025, 3, 4)) == 1 and ru._manifest(spark, root) == []
+    ru.write_partials(logs(spark, rows), root, 7)
+    assert ru.merge_partials(ru.read_partials(spark, root)).count() == 3
