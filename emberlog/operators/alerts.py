@@ -9,6 +9,7 @@ from pyspark.sql.window import WindowSpec
 
 from ..functions.clock import bucket_start
 from ..functions.score import spread, z_score
+from ..session import pinned
 from .joins import attach
 from .rank import above
 from .windows import over_series
@@ -75,3 +76,27 @@ def alert_examples(scored: DataFrame, threshold: Column | float, limit: int, k:
     w = Window.partitionBy(*keys).orderBy(F.desc(SCORE), key)
     best = high.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return attach(best, alerts, keys, weight="_w").where(F.col("n_anomalies").isNotNull())
+
+
+def thresholds_asof(scored: DataFrame, changes: DataFrame, default: float, bucket: str = "minute") -> DataFrame:
+    """Rows with the ``threshold`` that was in force for their service at their time, and ``default`` before its first.
+
+    ``changes`` (service_id, valid_from, threshold) says from when on a threshold holds; of two with one time the larger counts, a null
+    one does not. A row's bucket brings the threshold in force when it begins, carried along the buckets of the service, and the changes
+    within it, which are few. So log rows are neither sorted nor put into one task by service: they are joined by (service, bucket).
+    """
+    place = ["service_id", "_bucket"]
+    rows = scored.drop("threshold").withColumn("_bucket", bucket_start("timestamp", bucket))
+    marks = changes.where(F.col("threshold").isNotNull() & F.col("valid_from").isNotNull()).select(
+        "service_id", bucket_start("valid_from", bucket).alias("_bucket"), F.struct("valid_from", F.col("threshold").cast("double").alias("threshold")).alias("_mark"))
+    series = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).withColumn("_mark", F.lit(None).cast(marks.schema["_mark"].dataType))
+    both = series.unionByName(marks.withColumn("_n", F.lit(0).cast("bigint")))
+    buckets = both.groupBy(*place).agg(F.sum("_n").alias("_n"), F.max("_mark").alias("_last"), F.sort_array(F.collect_list("_mark")).alias("_marks"))
+    before = Window.partitionBy("service_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.withColumn("_carried", F.last(F.col("_last")["threshold"], ignorenulls=True).over(before))
+    carried = pinned(carried.where("_n > 0").select(*place, "_carried", "_marks", "_n"))
+    width = F.lit(128) + F.lit(48) * F.size("_marks") + F.coalesce(F.octet_length("service_id"), F.lit(0))
+    size = carried.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"]
+    met = attach(rows, carried, place, weight="_n", size=size)
+    within = F.try_element_at(F.filter("_marks", lambda m: m["valid_from"] <= F.col("timestamp")), F.lit(-1))["threshold"]
+    return met.withColumn("threshold", F.coalesce(within, F.col("_carried"), F.lit(float(default)))).drop("_bucket", "_carried", "_marks")

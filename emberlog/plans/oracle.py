@@ -476,6 +476,11 @@ ORACLE: dict[str, str] = {
                round(1 / (1 + exp(1 - velocity)), 6) AS anomaly_score
         FROM logs l JOIN ctx ON ctx.service_id = l.service_id
           AND ctx.window_start = date_trunc('minute', l.timestamp)""",
+    "thresholds_asof": f"""WITH {SCORED}, changes AS (
+          SELECT service_id, timestamp AS valid_from, max(1 + (event_id % 5) / 2) AS threshold FROM scored WHERE event_id % 97 = 0 GROUP BY ALL)
+        SELECT event_id, s.service_id, anomaly_score, coalesce(threshold, 1.25::DOUBLE) AS threshold,
+               CASE WHEN anomaly_score > coalesce(threshold, 1.25::DOUBLE) THEN 1 ELSE 0 END AS is_alert
+        FROM scored s ASOF LEFT JOIN changes c ON s.service_id = c.service_id AND s.timestamp >= c.valid_from""",
     "batch_scores": "SELECT count(*) AS n, count(*) AS n_close FROM events",
     "stream_rescored": f"""WITH {LOGS} {row_context('minute')}
         SELECT l.event_id, l.service_id, round(coalesce(velocity, 1), 6) AS throughput_velocity,

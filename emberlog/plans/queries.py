@@ -729,6 +729,16 @@ def count_alert(spark, d):
     return alerts.count_alert(scored_logs(spark, d), HIGH, limit=10)
 
 
+@query
+def thresholds_asof(spark, d):
+    """Rows with the threshold in force at their time, where every 97th row marks a change of its service's threshold."""
+    scored = scored_logs(spark, d)
+    changes = scored.where(F.pmod("event_id", F.lit(97)) == 0).select(
+        "service_id", F.col("timestamp").alias("valid_from"), (1 + F.pmod("event_id", F.lit(5)) / 2).alias("threshold"))
+    df = alerts.thresholds_asof(scored, changes, 1.25)
+    return df.select("event_id", "service_id", "anomaly_score", "threshold", F.when(F.col("anomaly_score") > F.col("threshold"), 1).otherwise(0).alias("is_alert"))
+
+
 @query
 def alert_examples(spark, d):
     scored = scored_logs(spark, d).withColumn("error_kind", sig.error_kind("log_payload", status="status_code"))

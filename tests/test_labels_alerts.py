@@ -4,7 +4,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from emberlog.operators import alerts, evaluate, labels, novelty, rank, whatif
+from emberlog.operators import alerts, evaluate, joins, labels, novelty, rank, whatif
 from emberlog.plans import report
 from emberlog.sources import adapters, contract
 from tests.helpers import BASE, log, logs
@@ -230,3 +230,25 @@ def test_mixed_versions(spark):
     rows = {r.schema_version: r for r in adapters.mixed_versions(v1, v2).collect()}
     assert rows[1].throughput_velocity == 1.0 and rows[1].hour_of_day == 12 and rows[1].is_weekend == 0
     assert rows[1].log_signature is None and rows[2].log_signature == "[A]:[B]:[OK]" and rows[2].is_weekend == 1
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_thresholds_as_of_the_row(spark, limit, monkeypatch):
+    """Several changes in a minute, of one time, before all rows, without a value; a service without changes, and null services."""
+    if limit is not None:
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    rng = random.Random(4)
+    rows = [(i, rng.choice(("a", "b", "c", None)), BASE + timedelta(seconds=rng.randrange(1200)), float(i % 7), "old") for i in range(600)]
+    changes = [(rng.choice(("a", "b", None)), BASE + timedelta(seconds=rng.randrange(-300, 1200)), float(i)) for i in range(40)]
+    changes += [("a", BASE + timedelta(seconds=600), v) for v in (50.0, 60.0, None)] + [("b", None, 70.0)]
+    scored = spark.createDataFrame(rows, "event_id long, service_id string, timestamp timestamp_ntz, anomaly_score double, threshold string")
+    marks = spark.createDataFrame(changes, "service_id string, valid_from timestamp_ntz, threshold double")
+    want = {}
+    for i, service, ts, _, _ in rows:
+        held = [(t, v) for s, t, v in changes if s == service and t is not None and v is not None and t <= ts]
+        want[i] = max(held)[1] if held else 9.0
+    got = alerts.thresholds_asof(scored, marks, 9.0)
+    assert got.columns == ["event_id", "service_id", "timestamp", "anomaly_score", "threshold"]
+    assert {r.event_id: r.threshold for r in got.collect()} == want and len(set(want.values())) > 20
+    assert {r.threshold for r in alerts.thresholds_asof(scored, marks.limit(0), 9.0).collect()} == {9.0}
+    assert alerts.thresholds_asof(scored.limit(0), marks, 9.0).collect() == []
