@@ -56,3 +56,18 @@ def running_sums(df: DataFrame, w: WindowSpec, **values) -> DataFrame:
     start = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = {name: F.sum(value).over(start) for name, value in values.items()}
     return df.withColumns({"_i": F.row_number().over(w), **sums})
+
+
+def highest_so_far(df: DataFrame, by: Sequence[str], order: str, value: str, target: str) -> DataFrame:
+    """Adds the highest ``value`` of each series up to and including the row; nulls count for nothing.
+
+    ``order`` is a timestamp. Days are answered apart, each with the highest value of the days before it, so no task sees more
+    than one day, or the list of days, of a series.
+    """
+    days = pinned(df.withColumn("_day", F.col(order).cast("date")))
+    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    tops = days.groupBy(*by, "_day").agg(F.max(value).alias("_top"), F.count(F.lit(1)).alias("_count"))
+    carried = tops.select(*by, "_day", "_count", F.max("_top").over(before).alias("_carried"))
+    own = F.max(value).over(Window.partitionBy(*by, "_day").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = attach(days, carried, [*by, "_day"], weight="_count")
+    return met.withColumn(target, F.greatest("_carried", own)).drop("_day", "_carried")

@@ -51,6 +51,25 @@ kinds AS (
   FROM messages)"""
 
 
+def islands(source: str, gap: str) -> str:
+    """Rows of ``source`` by episode: a row more than ``gap`` after the one before it begins a new one."""
+    return f""",
+marks AS (
+  SELECT *, CASE WHEN timestamp <= lag(timestamp) OVER w + INTERVAL {gap} THEN 0 ELSE 1 END AS fresh
+  FROM {source} WINDOW w AS (PARTITION BY service_id ORDER BY timestamp, event_id)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY service_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS island FROM marks),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY service_id, island ORDER BY anomaly_score DESC, event_id) AS place FROM numbered),
+episodes AS (
+  SELECT service_id, min(timestamp) AS episode_start, max(timestamp) AS episode_end, count(*) AS n_alerts, max(anomaly_score) AS peak_score,
+         string_agg(event_id, ',' ORDER BY place) FILTER (WHERE place <= 3) AS examples, min(event_id) FILTER (WHERE place = 1) AS peak_id
+  FROM ranked GROUP BY service_id, island)"""
+
+
+# A service that had an episode within the eight hours before is not notified again.
+NOTIFIED = """CASE WHEN episode_start <= lag(episode_end) OVER (PARTITION BY service_id ORDER BY episode_start) + INTERVAL 8 HOUR
+    THEN 0 ELSE 1 END AS is_notified"""
+
+
 def buckets(unit: str, source: str = "logs") -> str:
     return f""",
 buckets AS (
@@ -449,6 +468,12 @@ ORACLE: dict[str, str] = {
                 CASE status_code WHEN 502 THEN 'DEPENDENCY_FAILURE' WHEN 503 THEN 'DEPENDENCY_FAILURE' WHEN 500 THEN 'UNEXPECTED' END
                 AS error_kind, anomaly_score FROM h)
         SELECT * FROM r WHERE n_anomalies >= 3 AND rank <= 2""",
+    "alert_episodes": f"""WITH {SCORED}, high AS (SELECT * FROM scored WHERE anomaly_score > {HIGH}) {islands('high', '5 HOUR')}
+        SELECT * EXCLUDE (peak_id), {NOTIFIED} FROM episodes""",
+    "ordered_codes": f"""WITH {LOGS} SELECT event_id, """ + ", ".join(f"""
+        round((coalesce(sum(is_anomaly) OVER {c}, 0) + 1) / (count(is_anomaly) OVER {c} + 10), 6) AS code_{c}""" for c in ("service_id", "log_signature", "user_agent")) + """
+        FROM logs WINDOW """ + ", ".join(f"""{c} AS (PARTITION BY {c} ORDER BY timestamp RANGE BETWEEN UNBOUNDED PRECEDING
+        AND INTERVAL 1 MICROSECOND PRECEDING)""" for c in ("service_id", "log_signature", "user_agent")) + "",
     "burst_whatif": f"""WITH {BURSTED} SELECT event_id, CAST(copy AS INTEGER) AS copy, timestamp, service_id,
         status_code, response_time_ms, is_anomaly FROM bursted""",
     "burst_context": f"""WITH {BURSTED} {row_context('hour', 'bursted')} {CONTEXT_REPORT}

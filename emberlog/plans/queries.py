@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import score as sc, signature as sig, text
 from ..functions.clock import day_of_week, in_range
-from ..operators import alerts, context, evaluate, isolation, labels, novelty, rank, rollup, sketches, whatif
+from ..operators import alerts, context, episodes, evaluate, isolation, labels, novelty, ordered, rank, rollup, sketches, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
 from ..streaming import live, state
@@ -747,6 +747,13 @@ def alert_examples(spark, d):
                      "error_kind", "anomaly_score")
 
 
+@query
+def alert_episodes(spark, d):
+    """Alerts at most five hours apart are one episode; after less than eight hours of quiet, a new one is not notified."""
+    df = episodes.alert_episodes(scored_logs(spark, d), HIGH, gap=18000, cooldown=28800, k=3)
+    return df.withColumn("examples", F.array_join(F.col("examples").cast("array<string>"), ","))
+
+
 # --- what-if --------------------------------------------------------------------------------------------------------
 
 @query
@@ -815,6 +822,14 @@ def training_events(spark, d):
     return rounded(rows, "throughput_velocity", "error_acceleration")
 
 
+@query
+def ordered_codes(spark, d):
+    """Each row's categories by the labels of the rows before it."""
+    coded = ("service_id", "log_signature", "user_agent")
+    df = ordered.ordered_codes(events.logs(spark, d), coded, "is_anomaly", prior=0.1)
+    return rounded(df.select("event_id", *[f"code_{c}" for c in coded]), *[f"code_{c}" for c in coded])
+
+
 @query
 def split_rows(spark, d):
     train, test = model.split(events.logs(spark, d), ["event_id"])
