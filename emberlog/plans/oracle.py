@@ -65,6 +65,11 @@ episodes AS (
   FROM ranked GROUP BY service_id, island)"""
 
 
+FIRST_SEEN = """, hours AS (
+  SELECT service_id, log_signature, date_trunc('hour', timestamp) AS window_start, count(*) AS n FROM logs GROUP BY ALL),
+since AS (SELECT *, lag(window_start) OVER (PARTITION BY service_id, log_signature ORDER BY window_start) AS before FROM hours)
+SELECT service_id, log_signature, window_start, n FROM since WHERE (before IS NULL OR window_start > before + INTERVAL 6 HOUR)"""
+
 # A service that had an episode within the eight hours before is not notified again.
 NOTIFIED = """CASE WHEN episode_start <= lag(episode_end) OVER (PARTITION BY service_id ORDER BY episode_start) + INTERVAL 8 HOUR
     THEN 0 ELSE 1 END AS is_notified"""
@@ -491,6 +496,18 @@ ORACLE: dict[str, str] = {
         round(velocity, 6) AS throughput_velocity, round(error_rate / nullif(then_rate, 0), 6) AS error_acceleration,
         CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge FROM ctx
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM logs) - INTERVAL 10 MINUTE""",
+    "first_seen_signatures": f"WITH {LOGS} {FIRST_SEEN}",
+    "stream_new_signatures": f"""WITH {LOGS} {FIRST_SEEN}
+        AND window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM logs) - INTERVAL 10 MINUTE""",
+    "stream_alert_episodes": f"""WITH {LOGS}, slow AS (SELECT *, CAST(response_time_ms AS DOUBLE) AS anomaly_score FROM logs WHERE response_time_ms > 2000)
+        {islands('slow', '5 HOUR')}
+        SELECT service_id, episode_start, episode_end, n_alerts, peak_score, peak_id, {NOTIFIED} FROM episodes
+        WHERE episode_end + INTERVAL 5 HOUR <= (SELECT max(timestamp) FROM slow) - INTERVAL 10 MINUTE""",
+    "stream_incident_labels": f"""WITH {LOGS} {row_context('hour')}, surges AS (SELECT service_id, window_start AS began FROM ctx WHERE z > 3.000000001),
+        seen AS (SELECT least((SELECT max(timestamp) FROM logs), (SELECT max(began) + INTERVAL 3 HOUR FROM surges)) - INTERVAL 10 MINUTE AS mark),
+        hit AS (SELECT event_id, service_id, timestamp, CASE WHEN EXISTS (SELECT 1 FROM surges s WHERE s.service_id = l.service_id
+            AND l.timestamp BETWEEN began - INTERVAL 30 MINUTE AND began + INTERVAL 30 MINUTE) THEN 1 ELSE 0 END AS is_anomaly FROM logs l)
+        SELECT hit.* FROM hit, seen WHERE is_anomaly = 1 OR timestamp < mark - INTERVAL 6 HOUR""",
     "stream_scored_model": f"""WITH {LOGS} {row_context('minute')}
         SELECT l.event_id, round(velocity, 6) AS throughput_velocity, CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge,
                true AS scored, CAST(least((day(l.timestamp) - 1) // 8, 3) AS INTEGER) AS batch_id

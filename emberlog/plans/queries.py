@@ -14,7 +14,8 @@ from ..functions.clock import day_of_week, in_range
 from ..operators import alerts, context, episodes, evaluate, isolation, labels, novelty, ordered, rank, rollup, sketches, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
-from ..streaming import live, state
+from ..streaming import firsts, live, state
+from ..streaming.labels import stream_incident_labels as late_labels
 from . import model, report, trees, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,6 +561,15 @@ def new_signatures(spark, d):
     return novelty.new_signatures(shifted.where(F.col("timestamp") >= start), shifted.where(F.col("timestamp") < start))
 
 
+SIX_HOURS = 6 * 3600
+
+
+@query
+def first_seen_signatures(spark, d):
+    """Hours with a signature that its service has not shown for six hours."""
+    return firsts.first_seen(events.logs(spark, d), SIX_HOURS)
+
+
 @query
 def signature_rarity(spark, d):
     shifted = whatif.overlay_signature(events.logs(spark, d), *span(SILENT))
@@ -962,6 +972,32 @@ def stream_context(spark, d):
     return rounded(_finished(out, spark, "context"), "throughput_velocity", "error_acceleration")
 
 
+@query
+def stream_new_signatures(spark, d):
+    """:func:`first_seen_signatures` over the hours that the watermark has closed, from stream state that forgets."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", state.STATE_PROVIDER)
+    return _finished(firsts.stream_first_seen(_event_stream(spark, d), SIX_HOURS, delay=DELAY), spark, "signatures")
+
+
+@query
+def stream_alert_episodes(spark, d):
+    """Episodes of rows slower than two seconds, as the watermark closes them."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", state.STATE_PROVIDER)
+    slow = _event_stream(spark, d).withColumn("anomaly_score", F.col("response_time_ms").cast("double"))
+    return _finished(firsts.stream_episodes(slow, 2000.0, gap=18000, cooldown=28800, delay=DELAY), spark, "episodes")
+
+
+@query
+def stream_incident_labels(spark, d):
+    """Labels of surge hours that are reported three hours after they begin; rows wait six hours for them."""
+    source = fresh_dir(spark, "incidents")
+    surges = context.context(hour_buckets(spark, d)).where(F.col("is_surge") == 1)
+    start = F.col("window_start")
+    surges.select("service_id", start.alias("start_at"), start.alias("end_at"), (start + F.make_dt_interval(hours=F.lit(3))).alias("reported_at")).write.parquet(source)
+    reports = spark.readStream.schema("service_id string, start_at timestamp_ntz, end_at timestamp_ntz, reported_at timestamp_ntz").parquet(source)
+    return _finished(late_labels(_event_stream(spark, d), reports, 1800, 1800, SIX_HOURS, delay=DELAY), spark, "labelled")
+
+
 @query
 def stream_scored_model(spark, d):
     """Rows scored by the model of the contract as they arrive, in four micro-batches of about a week."""
