@@ -5,7 +5,9 @@ again as a whole. Rows are separated by an empty gzip member, so a file is a pla
 
 The reader checks each member (its checksum) and each record (version line, header lines, length, block end, payload digest).
 After a failed check it looks for the next place where a member or a version line begins that passes all checks, goes
-on from there, and reports the bytes in between as a gap.
+on from there, and reports the bytes in between as a gap. Inside a member it does the same with the bytes that could be inflated:
+a record that fails costs the records around it nothing. If the member's own checksum fails, records are taken over only if their
+payload digest holds and something else in the member fails, so that the damage has a place; otherwise the member is a gap.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ LEVEL = 4
 _STEP = 1 << 14
 _EMPTY = gzip.compress(b"", mtime=0)
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -47,12 +50,24 @@ class Record:
         return self.headers["warc-type"]
 
 
+@dataclass(frozen=True)
+class Lost:
+    """Bytes of a member, counted in what it inflates to, that hold no record that passes."""
+
+    first: int
+    past: int
+
+
+def record_id(page: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest}')}>"
+
+
 def record_bytes(kind: str, page: int | None, url: str | None, payload: bytes, digest: str, length: int, refers: int | None) -> bytes:
     """One record. A response has an HTTP head and the payload; a revisit has the head alone."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     block = head + (payload if kind == "response" else b"")
     lines = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest}')}>",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page, digest)}",
         "WARC-Date: 2024-01-01T00:00:00Z", "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Payload-Length: {length}", f"Content-Length: {len(block)}",
     ]
@@ -61,7 +76,7 @@ def record_bytes(kind: str, page: int | None, url: str | None, payload: bytes, d
     if page is not None:
         lines.append(f"Page-ID: {page}")
     if kind == "revisit":
-        lines += [f"WARC-Profile: {_PROFILE}", f"Refers-To-Page-ID: {refers}"]
+        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers, digest)}", f"Refers-To-Page-ID: {refers}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -96,47 +111,92 @@ def parse(data: bytes, at: int) -> tuple[Record, int] | None:
     return Record(headers, block), past + 4
 
 
-def members(data: bytes, at: int) -> tuple[list[Record], int] | None:
-    """The records of the gzip member or plain record that begins at ``at``, and where it ends, or None."""
+def inflated(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """What the gzip member at ``at`` holds, as far as it can be inflated, where it ends, and whether it is whole and its checksum holds."""
+    unzip, parts, end = zlib.decompressobj(31), [], at
+    while not unzip.eof and end < len(data):  # in steps, as what follows the member would be copied
+        before = unzip.copy()
+        try:
+            parts.append(unzip.decompress(data[end:end + _STEP]))
+        except zlib.error:
+            # The step again byte by byte, to have what comes before the bad one.
+            for place in range(end, min(end + _STEP, len(data))):
+                try:
+                    parts.append(before.decompress(data[place:place + 1]))
+                except zlib.error:
+                    return b"".join(parts), place + 1, False
+            return b"".join(parts), end, False
+        end = min(end + _STEP, len(data))
+    return b"".join(parts), end - len(unzip.unused_data), unzip.eof
+
+
+def proven(record: Record) -> bool:
+    """Whether the record carries a digest of its payload, which :func:`parse` has then checked."""
+    return record.kind == "response" and record.headers.get("warc-payload-digest", "").startswith("sha256:")
+
+
+def members(data: bytes, at: int) -> tuple[list[Record | Lost], int | None] | None:
+    """The records of the gzip member or plain record that begins at ``at``, the bytes lost between them, and where it ends.
+
+    The end of a member whose checksum fails is not known: it may have swallowed what follows. None if nothing that begins there passes.
+    """
     if data[at:at + 2] != b"\x1f\x8b":
         found = parse(data, at)
         return found and ([found[0]], found[1])
-    unzip, parts, end = zlib.decompressobj(31), [], at
-    try:
-        while not unzip.eof and end < len(data):  # in steps, as what follows the member would be copied
-            parts.append(unzip.decompress(data[end:end + _STEP]))
-            end = min(end + _STEP, len(data))
-    except zlib.error:
-        return None
-    if not unzip.eof:
+    inner, past, whole = inflated(data, at)
+    if not whole and not inner:
         return None
-    inner, records, place = b"".join(parts), [], 0
+    inside, place, lost = [], 0, None
     while place < len(inner):
         found = parse(inner, place)
-        if found is None:
-            return None
-        records.append(found[0])
-        place = found[1]
-    return records, end - len(unzip.unused_data)
+        if found is not None and (whole or proven(found[0])):
+            if lost is not None:
+                inside.append(Lost(lost, place))
+                lost = None
+            inside.append(found[0])
+            place = found[1]
+            continue
+        lost = place if lost is None else lost
+        following = _LINE.search(inner, place + 1)
+        place = following.start() if following else len(inner)
+    if lost is not None:
+        inside.append(Lost(lost, len(inner)))
+    damaged = any(isinstance(x, Lost) for x in inside)
+    if damaged and all(isinstance(x, Lost) for x in inside) or not whole and not damaged:
+        return None
+    return inside, past if whole else None
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | None]]:
-    """(first byte, past, records) of everything that passes its checks, and (first byte, past, None) of the gaps between."""
-    at, gap = 0, None
+def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record | Lost] | None]]:
+    """(first byte, past, records) of everything that passes its checks, and (first byte, past, None) of the gaps between.
+
+    Records of a damaged member come with the bytes lost between them.
+    """
+    at, gap, hurt = 0, None, None  # ``hurt``: a damaged member that lasts until something passes again
     while at < len(data):
         found = members(data, at)
         if found is not None:
             if gap is not None:
-                yield gap, at, None
-                gap = None
-            yield at, found[1], found[0]
-            at = found[1]
-            continue
+                yield gap, at, hurt
+                gap = hurt = None
+            if found[1] is not None:
+                yield at, found[1], found[0]
+                at = found[1]
+                continue
+            hurt = found[0]
         gap = at if gap is None else gap
         following = _BEGIN.search(data, at + 1)
         at = following.start() if following else len(data)
     if gap is not None:
-        yield gap, len(data), None
+        yield gap, len(data), hurt
+
+
+def whole_number(text: str | None) -> int | None:
+    """A header's number, or None if it is not one that fits 64 bits: archives from elsewhere may say anything."""
+    if text is None or not re.fullmatch(r"-?[0-9]{1,19}", text):
+        return None
+    value = int(text)
+    return value if -(1 << 63) <= value < 1 << 63 else None
 
 
 def roles(pages: DataFrame) -> DataFrame:
@@ -179,8 +239,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """What the archives in a folder hold, gaps included: (archive, first, past, kind, page_id, url, payload_bytes,
-    payload_digest, refers_to, payload). ``kind`` is gap for quarantined bytes. Length and digest of a response are those of the
-    payload read; of a revisit, those its header tells."""
+    payload_digest, refers_to, payload, inner_first, inner_past). ``kind`` is gap for quarantined bytes; those inside a member, counted
+    in what it inflates to, are in ``inner_first`` and ``inner_past``. Length and digest of a response are those of the payload
+    read; of a revisit, those its header tells. A header that is missing, or no number where one belongs, is null."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -188,24 +249,27 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for first, past, records in salvage(data):
                     if records is None:
-                        rows.append((name, first, past, "gap", None, None, None, None, None, None))
+                        rows.append((name, first, past, "gap", *[None] * 8))
                     for r in records or ():
+                        if isinstance(r, Lost):
+                            rows.append((name, first, past, "gap", *[None] * 6, r.first, r.past))
+                            continue
                         h, whole = r.headers, r.kind == "response"
-                        page, refers = h.get("page-id"), h.get("refers-to-page-id")
-                        rows.append((name, first, past, r.kind, page and int(page), h.get("warc-target-uri"),
-                                     len(r.payload) if whole else int(h.get("warc-payload-length", 0)),
-                                     hashlib.sha256(r.payload).hexdigest() if whole else h.get("warc-payload-digest", "")[7:],
-                                     refers and int(refers), r.payload if whole else None))
+                        told = h.get("warc-payload-digest", "")
+                        rows.append((name, first, past, r.kind, whole_number(h.get("page-id")), h.get("warc-target-uri"),
+                                     len(r.payload) if whole else whole_number(h.get("warc-payload-length")),
+                                     hashlib.sha256(r.payload).hexdigest() if whole else told[7:] if told.startswith("sha256:") else None,
+                                     whole_number(h.get("refers-to-page-id")), r.payload if whole else None, None, None))
                     if len(rows) >= 512:
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                         rows = []
                 if rows:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    names = ["archive", "first", "past", "kind", "page_id", "url", "payload_bytes", "payload_digest", "refers_to", "payload"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    names = ["archive", "first", "past", "kind", "page_id", "url", "payload_bytes", "payload_digest", "refers_to", "payload", "inner_first", "inner_past"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
     schema = ("archive string, first bigint, past bigint, kind string, page_id bigint, url string, payload_bytes bigint, "
-              "payload_digest string, refers_to bigint, payload binary")
+              "payload_digest string, refers_to bigint, payload binary, inner_first bigint, inner_past bigint")
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, schema)
 

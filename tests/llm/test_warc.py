@@ -69,3 +69,71 @@ def test_archives_of_odd_pages(spark, tmp_path):
     assert len(got) == len(rows) and by[3][0].url == "http://a%20b%0D%0A"
     W.write_archives(pages.limit(0), f"{tmp_path}/none")
     assert W.read_archives(spark, f"{tmp_path}/none").collect() == []
+
+
+def bundled(pages, hurt=None, change=None):
+    """One member of several records; ``hurt`` flips a payload byte of that record before, ``change`` a byte of the member after compression."""
+    raw = [gzip.decompress(member(i, b"payload %04d " % i * 40)) for i in pages]
+    if hurt is not None:
+        raw[hurt] = raw[hurt].replace(b"payload %04d " % pages[hurt], b"Payload %04d " % pages[hurt], 1)
+    out = bytearray(gzip.compress(b"".join(raw), 6, mtime=0))
+    if change is not None:
+        out[change] ^= 0x55
+    return raw, bytes(out)
+
+
+def inside(data):
+    return [(a, b, [int(x.headers["page-id"]) if isinstance(x, W.Record) else (x.first, x.past) for x in r] if r is not None else None) for a, b, r in W.salvage(data)]
+
+
+def test_records_around_a_damaged_one_in_the_same_member():
+    raw, data = bundled([1, 2, 3], hurt=1)
+    gap = (len(raw[0]), len(raw[0]) + len(raw[1]))
+    before, after = member(8, b"x" * 200), member(9, b"y" * 200)
+    got = inside(before + data + after)
+    end = len(before) + len(data)
+    assert got == [(0, len(before), [8]), (len(before), end, [1, gap, 3]), (end, end + len(after), [9])]
+    raw, data = bundled([1, 2, 3], hurt=0)
+    assert inside(data) == [(0, len(data), [(0, len(raw[0])), 2, 3])]
+
+
+def test_cut_and_unplaced_damage():
+    rng = random.Random(6)
+    raw = [gzip.decompress(member(i, bytes(rng.choices(b"abcdefgh<>", k=3000)))) for i in range(3)]
+    whole = gzip.compress(b"".join(raw), 6, mtime=0)
+    # Cut in the third record: the two before it stand, as their digests hold.
+    cut = inside(whole[:-600] + member(9, b"y" * 200))
+    assert [r for _, _, records in cut if records for r in records if isinstance(r, int)] == [0, 1, 9]
+    assert sum(isinstance(r, tuple) for _, _, records in cut if records for r in records) == 1
+    # A wrong checksum with nothing wrong inside has no place: the member is a gap as a whole.
+    assert inside(whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]) == [(0, len(whole), None)]
+    # Any flipped byte loses at most the member, and never yields a payload that was not there.
+    payloads = {W.parse(r, 0)[0].payload for r in raw}
+    for _ in range(60):
+        hurt = bytearray(whole)
+        hurt[rng.randrange(12, len(whole))] ^= rng.randrange(1, 256)
+        got = list(W.salvage(bytes(hurt)))
+        assert {r.payload for _, _, rs in got for r in rs or () if isinstance(r, W.Record)} <= payloads
+
+
+def test_headers_from_elsewhere(spark, tmp_path):
+    def foreign(kind, *lines):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + (b"hello" if kind == "response" else b"")
+        head = ["WARC/1.0", f"WARC-Type: {kind}", "Content-Type: application/http", f"Content-Length: {len(block)}", *lines]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    odd = [foreign("response", "Page-ID: abc"), foreign("response", "Page-ID: 99999999999999999999"), foreign("revisit", "WARC-Payload-Length: many"),
+           foreign("revisit", "WARC-Payload-Digest: sha1:ABC", "Refers-To-Page-ID: -", "Page-ID: -7"), foreign("metadata")]
+    raw, hurt = bundled([1, 2], hurt=1)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc.gz").write_bytes(gzip.compress(b"".join(odd)) + hurt)
+    got = W.read_archives(spark, f"{tmp_path}/a").collect()
+    assert [(r.kind, r.page_id, r.payload_bytes, r.payload_digest is None, r.refers_to) for r in got[:5]] == [
+        ("response", None, 5, False, None), ("response", None, 5, False, None), ("revisit", None, None, True, None),
+        ("revisit", -7, None, True, None), ("metadata", None, None, True, None)]
+    assert [(r.kind, r.page_id, r.inner_first, r.inner_past) for r in got[5:]] == [("response", 1, None, None), ("gap", None, len(raw[0]), len(raw[0]) + len(raw[1]))]
+
+
+def test_revisits_name_the_record_they_refer_to():
+    first, again = [W.parse(gzip.decompress(m), 0)[0].headers for m in (member(1, b"p" * 200), member(2, b"p" * 200, "revisit", 1))]
+    assert again["warc-refers-to"] == first["warc-record-id"] != again["warc-record-id"]
