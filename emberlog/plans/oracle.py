@@ -75,6 +75,24 @@ NOTIFIED = """CASE WHEN episode_start <= lag(episode_end) OVER (PARTITION BY ser
     THEN 0 ELSE 1 END AS is_notified"""
 
 
+def template_sql(source: str, depth: int, fanout: int) -> str:
+    """The template of each ``message`` of ``source``, level by level."""
+    sql = f"""
+split0 AS (SELECT *, list_transform(list_filter(regexp_split_to_array(coalesce(message, ''), '\\s+'), lambda w: w <> ''),
+             lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS words FROM {source}),
+path0 AS (SELECT *, CAST(len(words) AS VARCHAR) AS path FROM split0)"""
+    for i in range(1, depth + 1):
+        sql += f""",
+path{i} AS (SELECT * REPLACE (CASE WHEN words[{i}] IS NULL THEN path ELSE path || ' ' ||
+             CASE WHEN count(DISTINCT words[{i}]) OVER (PARTITION BY path) > {fanout} THEN '<*>' ELSE words[{i}] END END AS path) FROM path{i - 1})"""
+    return sql + f""",
+places AS (SELECT event_id, path, words[i] AS word, i FROM path{depth}, unnest(range({depth + 1}, len(words) + 1)) AS r(i)),
+judged AS (SELECT event_id, i, CASE WHEN count(DISTINCT word) OVER (PARTITION BY path, i) > {fanout} THEN '<*>' ELSE word END AS word FROM places),
+tails AS (SELECT event_id, string_agg(word, ' ' ORDER BY i) AS tail FROM judged GROUP BY 1)
+SELECT event_id, service_id, CASE WHEN len(words) > 0 THEN substr(path, instr(path, ' ') + 1) || coalesce(' ' || tail, '') END AS template
+FROM path{depth} LEFT JOIN tails USING (event_id)"""
+
+
 def buckets(unit: str, source: str = "logs") -> str:
     return f""",
 buckets AS (
@@ -508,6 +526,11 @@ ORACLE: dict[str, str] = {
         hit AS (SELECT event_id, service_id, timestamp, CASE WHEN EXISTS (SELECT 1 FROM surges s WHERE s.service_id = l.service_id
             AND l.timestamp BETWEEN began - INTERVAL 30 MINUTE AND began + INTERVAL 30 MINUTE) THEN 1 ELSE 0 END AS is_anomaly FROM logs l)
         SELECT hit.* FROM hit, seen WHERE is_anomaly = 1 OR timestamp < mark - INTERVAL 6 HOUR""",
+    "learned_templates": f"""WITH {LOGS}, told AS (
+        SELECT event_id, service_id, CASE event_id % 50 WHEN 7 THEN ' ' WHEN 8 THEN 'ok' WHEN 9 THEN NULL ELSE CASE WHEN status_code >= 500
+          THEN 'Call of ' || chr(CAST(97 + event_id % 20 AS INTEGER)) || ' failed: ' || CASE status_code WHEN 500 THEN 'timeout' ELSE 'connection reset' END
+          ELSE 'Served ' || endpoint || ' to ' || chr(CAST(97 + event_id % 20 AS INTEGER)) || ' in ' || response_time_ms || 'ms with ' || log_payload
+          END END AS message FROM logs),""" + template_sql("told", 3, 3),
     "stream_scored_model": f"""WITH {LOGS} {row_context('minute')}
         SELECT l.event_id, round(velocity, 6) AS throughput_velocity, CASE WHEN z > 3.000000001 THEN 1 ELSE 0 END AS is_surge,
                true AS scored, CAST(least((day(l.timestamp) - 1) // 8, 3) AS INTEGER) AS batch_id

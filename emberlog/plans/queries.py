@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import score as sc, signature as sig, text
 from ..functions.clock import day_of_week, in_range
-from ..operators import alerts, context, episodes, evaluate, isolation, labels, novelty, ordered, rank, rollup, sketches, whatif
+from ..operators import alerts, context, episodes, evaluate, isolation, labels, novelty, ordered, rank, rollup, sketches, templates, whatif
 from ..session import fresh_dir, pinned
 from ..sources import adapters, contract, events, tables
 from ..streaming import firsts, live, state
@@ -650,6 +650,18 @@ def payload_score(spark, d):
     return rounded(novelty.payload_score(docs, "doc_id", "text"), "payload_anomaly_score")
 
 
+@query
+def learned_templates(spark, d):
+    """Rows with the template of their message, learnt from all messages: words that vary are values."""
+    letter = F.char(97 + F.pmod("event_id", F.lit(20)))
+    served = F.concat(F.lit("Served "), F.col("endpoint"), F.lit(" to "), letter, F.lit(" in "), F.col("response_time_ms").cast("string"), F.lit("ms with "), F.col("log_payload"))
+    failed = F.concat(F.lit("Call of "), letter, F.lit(" failed:\t"), F.when(F.col("status_code") == 500, "timeout").otherwise("connection reset"))
+    turn = F.pmod("event_id", F.lit(50))
+    message = F.when(turn == 7, F.lit(" \n")).when(turn == 8, F.lit("ok")).when(turn != 9, F.when(F.col("status_code") >= 500, failed).otherwise(served))
+    logs = events.logs(spark, d).select("event_id", "service_id", message.alias("message"))
+    return templates.templated(logs, "message", templates.learn(logs, "message", depth=3, fanout=3)).select("event_id", "service_id", "template")
+
+
 @query
 def payload_score_blanks(spark, d):
     """Null, empty and blank messages keep their row."""
