@@ -13,7 +13,8 @@ from ..session import pinned
 BROADCAST_BYTES = 64 << 20
 # At most this many keys can each hold more than 1/HOT_KEYS of the rows, so their rows always fit a broadcast.
 HOT_KEYS = 50_000
-SALTS = 32
+# In a range join beyond broadcast, a key with more left rows than this is split, into parts of about so many.
+SALT_ROWS = 1_000_000
 
 
 def _bytes(df: DataFrame) -> Column:
@@ -106,17 +107,20 @@ def attach_range(left: DataFrame, spans: DataFrame, on: Sequence[str], ts: str,
                  limit: int | None = None) -> DataFrame:
     """``left`` with a 0/1 column ``_hit``: whether ``ts`` lies in ``[start, end)`` of a span with its keys.
 
-    Spans of one key must not overlap, so a left row meets one at most. A big span side is copied SALTS
-    times and met by a hash of the left row, which splits a key that holds many left rows.
+    Spans of one key must not overlap, so a left row meets one at most. If the span side is too big for a broadcast, both are
+    shuffled on the keys. Keys with more than SALT_ROWS left rows, which are counted, are split: a left row goes to one
+    part by its hash, the spans of the key to all its parts.
     """
     spans, size = measured(spans)
     keys, inside = list(on), clock_range(ts, start, end)
     if size <= (BROADCAST_BYTES if limit is None else limit):
         right, rows = F.broadcast(spans), left
     else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        right = spans.withColumn("_salt", salts)
-        rows = left.withColumn("_salt", F.pmod(_scatter(left), F.lit(SALTS)).cast("int"))
+        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SALT_ROWS)
+        heavy = pinned(counts.select(*keys, F.ceil(F.col("_n") / SALT_ROWS).alias("_salts"), "_n"))
+        right = attach(spans, heavy.drop("_n"), keys).withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+        rows = attach(left, heavy, keys, weight="_n").withColumn("_salt", F.pmod(_scatter(left), F.coalesce("_salts", F.lit(1)))).drop("_salts")
         keys = [*keys, "_salt"]
     rows, right = rows.alias("l"), right.alias("r")
     cond = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]) & inside

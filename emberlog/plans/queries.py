@@ -1014,13 +1014,12 @@ def stream_incident_labels(spark, d):
 def stream_scored_model(spark, d):
     """Rows scored by the model of the contract as they arrive, in four micro-batches of about a week."""
     source, root, sink, check = (fresh_dir(spark, n) for n in ("events", "partials", "scored", "stream"))
-    rows = events.read(spark, d)
-    for week in range(4):
+    rows, fitted = events.read(spark, d), trained(spark, d)
+    for week in range(4):  # each run of the stream takes the files that are new, as one batch
         part = rows.where(F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)) == week)
-        part.coalesce(1).write.mode("append").parquet(source)  # one file each, in the order of time
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    fitted = trained(spark, d)
-    live.stream_scored(events.envelope(stream), root, sink, check, lambda df: model.score(df, fitted)).awaitTermination()
+        part.write.mode("append").parquet(source)
+        stream = events.envelope(spark.readStream.schema(rows.schema).parquet(source))
+        live.stream_scored(stream, root, sink, check, lambda df: model.score(df, fitted)).awaitTermination()
     df = spark.read.parquet(sink).select("event_id", "throughput_velocity", "is_surge", F.col("anomaly_score").isNotNull().alias("scored"), "batch_id")
     return rounded(df, "throughput_velocity")
 

@@ -45,8 +45,9 @@ def test_attach_forced_to_shuffle_does_not_broadcast_the_big_side(spark, frames)
     assert plan.count("SortMergeJoin") == 1
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_attach_range_against_brute_force(spark, limit):
+@pytest.mark.parametrize("limit,salt_rows", [(None, 1_000_000), (0, 1_000_000), (0, 250), (0, 7)])
+def test_attach_range_against_brute_force(spark, limit, salt_rows, monkeypatch):
+    monkeypatch.setattr(joins, "SALT_ROWS", salt_rows)
     rng = random.Random(5)
     left = [(i, "a" if i % 3 else "b", rng.randrange(1000)) for i in range(600)]
     spans = [("a", 10, 50), ("a", 50, 60), ("a", 700, 900), ("b", 0, 1), ("c", 0, 1000)]
