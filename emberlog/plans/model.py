@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.joins import attach
 from ..session import checkpoint_folder, discard, fresh_dir
 from ..sources import contract
+from . import boosting
 
 # Training parameters of the contract.
 ROUNDS, RATE, SEED, TRAIN_PERCENT = 500, 0.1, 42, 80
@@ -98,7 +99,7 @@ def train(df: DataFrame, numeric: Sequence[str] = tuple(contract.NUMERIC_V2),
 
     A category is encoded by the smoothed mean of the label over all rows that have its value, whatever the
     number of values; for a training row, over the rows of the other folds, where folds are hashes of the row.
-    The encoded columns are written once, as every pass of the trees reads them again, and removed afterwards.
+    The encoded columns are written once and removed afterwards; :mod:`emberlog.plans.boosting` grows the trees over them.
     """
     spark = df.sparkSession
     checkpoint_folder(spark)  # trees cut their lineage there
@@ -128,7 +129,8 @@ def train(df: DataFrame, numeric: Sequence[str] = tuple(contract.NUMERIC_V2),
     assembler = VectorAssembler(inputCols=list(inputs), outputCol=_VECTOR)
     trees = GBTClassifier(featuresCol=_VECTOR, labelCol=target, maxIter=rounds, stepSize=rate, seed=seed,
                           maxDepth=depth, maxBins=max_bins)
-    fitted = Pipeline(stages=[assembler, trees]).fit(spark.read.schema(ready.schema).parquet(f"{work}/ready"))
+    grown = boosting.fit(spark.read.schema(ready.schema).parquet(f"{work}/ready"), list(inputs), target, trees, assembler)
+    fitted = PipelineModel(stages=[assembler, grown])
     discard(spark, work)
     codes = spark.read.schema(codes.schema).parquet(path)
     return Fitted(tuple(numeric), tuple(categorical), fitted, codes, prior, _lookup(codes))
