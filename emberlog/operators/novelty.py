@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.score import ratio, spread, z_score
 from ..functions.text import tokens
-from .joins import BROADCAST_BYTES, attach, measured
+from .joins import BROADCAST_BYTES, _bytes, attach, measured
 from .quantiles import exact_quantiles, value_counts
 
 
@@ -73,19 +73,37 @@ def payload_score(df: DataFrame, key: str, text: str) -> DataFrame:
     """One number per message: mean ``-ln p`` of its words, p being a word's share of the corpus.
 
     The words of the corpus are counted with a combine on the map side. If the counts fit a broadcast, each
-    message is scored where it is read; otherwise words are counted per message before they are shuffled,
-    so a common word meets its corpus count once per message. A message without words, null or blank, has no
+    message is scored where it is read. Otherwise the most frequent words that fit one are scored there and leave one row
+    per message; only the other words are shuffled, counted per message. A message without words, null or blank, has no
     tokens and no score, but keeps its row.
     """
     words = df.select(key, F.explode_outer(tokens(text)).alias("token"))
     corpus, size = measured(words.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("corpus_n")))
+    total = corpus.agg(F.sum("corpus_n").alias("t")).first()["t"] or 0
+    surprise = corpus.select("token", F.log(F.lit(total) / F.col("corpus_n")).alias("surprise"), "corpus_n")
     if size <= BROADCAST_BYTES:
         words = words.withColumn("n", F.when(F.col("token").isNotNull(), 1).otherwise(0).cast("bigint"))
+        rows = attach(words, surprise, ["token"], weight="corpus_n", size=size).withColumn("_sum", F.col("n") * F.col("surprise"))
     else:
-        words = words.groupBy(key, "token").agg(F.count("token").alias("n"))
-    total = corpus.agg(F.sum("corpus_n").alias("t")).first()["t"] or 0
-    surprise = corpus.select("token", F.log(F.lit(total) / F.col("corpus_n")).alias("surprise"), "corpus_n")
-    rows = attach(words, surprise, ["token"], weight="corpus_n", size=size)
+        bits, common_size = _common(corpus)
+        common = F.length(F.bin("corpus_n")) > bits
+        met = words.join(F.broadcast(surprise.where(common).drop("corpus_n")), "token", "left")
+        left_over = F.when(F.col("surprise").isNull(), F.col("token"))
+        words = met.groupBy(key, left_over.alias("_rare")).agg(F.count("token").alias("n"), F.sum("surprise").alias("_met"))
+        rare = surprise.where(~common).withColumnRenamed("token", "_rare")
+        rows = attach(words, rare, ["_rare"], weight="corpus_n", size=size - common_size)
+        rows = rows.withColumn("_sum", F.coalesce("_met", F.col("n") * F.col("surprise")))
     return rows.groupBy(key).agg(
         F.sum("n").alias("n_tokens"),
-        (F.sum(F.col("n") * F.col("surprise")) / F.nullif(F.sum("n"), F.lit(0))).alias("payload_anomaly_score"))
+        (F.sum("_sum") / F.nullif(F.sum("n"), F.lit(0))).alias("payload_anomaly_score"))
+
+
+def _common(corpus: DataFrame) -> tuple[int, int]:
+    """Words whose count has more bits than the first number fit a broadcast together; the second is their size."""
+    sizes = corpus.groupBy(F.length(F.bin("corpus_n")).alias("bits")).agg(_bytes(corpus).alias("b")).collect()
+    bits, taken = 64, 0
+    for row in sorted(sizes, reverse=True):
+        if taken + row.b > BROADCAST_BYTES:
+            break
+        bits, taken = row.bits - 1, taken + row.b
+    return bits, taken

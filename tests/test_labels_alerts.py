@@ -132,6 +132,22 @@ def test_payload_score(spark, limit, monkeypatch):
     assert got[1] == (3, pytest.approx((2 * ln(5 / 3) + ln(5)) / 3)) and got[2] == (2, pytest.approx((ln(5 / 3) + ln(5)) / 2))
 
 
+@pytest.mark.parametrize("limit, rows", [(0, 12 * 4 + 5), (150, 16 + 12 * 2 + 1), (400, 16 + 12)])
+def test_payload_score_shuffles_rare_words_only(spark, limit, rows, monkeypatch):
+    """Words that fit a broadcast leave one row per message; the scores are those of a broadcast of all words."""
+    texts = {i: " ".join(["the", "of"] * 20 + [f"w{i}", f"x{i % 3}"]) for i in range(12)} | {12: None, 13: " ", 14: "the"}
+    df = spark.createDataFrame([*texts.items(), (3, "the w3"), (None, "of it")], "id int, t string")
+    want = {r.id: (r.n_tokens, r.payload_anomaly_score) for r in novelty.payload_score(df, "id", "t").collect()}
+    seen, attach = [], novelty.attach
+    monkeypatch.setattr(novelty, "attach", lambda left, *a, **k: seen.append(left.count()) or attach(left, *a, **k))
+    monkeypatch.setattr(novelty, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr("emberlog.operators.joins.BROADCAST_BYTES", 0)
+    got = {r.id: (r.n_tokens, r.payload_anomaly_score) for r in novelty.payload_score(df, "id", "t").collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and got[k][1] == (pytest.approx(want[k][1]) if want[k][1] is not None else None) for k in want)
+    assert seen == [rows]  # messages with each of their words; with 150 bytes, messages and words seen up to seven times; with 400, up to three times
+
+
 # --- evaluation -----------------------------------------------------------------------------------------------
 
 def test_report(scored):
