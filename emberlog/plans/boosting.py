@@ -231,11 +231,15 @@ def grow(ready: DataFrame, features: Sequence[str], target: str, cuts: Sequence[
     mine = [cuts[i] for i in kept]
     context = ready.sparkSession.sparkContext
     state = blocks(ready, [features[i] for i in kept], target, mine, context.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-    root, out, stale = None, [], []
+    root, out, stale, files = None, [], [], []
     for tree in range(rounds):
         nodes, root = _tree(state, mine, depth, tree == 0, root)
         for old in stale:  # the job above has read it for the last time
             old.unpersist()
+        if state.isCheckpointed():
+            files.append(state.getCheckpointFile())
+            for file in files[:-1]:  # nothing goes back behind the last one
+                discard(ready.sparkSession, file)
         value = np.array([v[0] * (1.0 if tree == 0 else rate) for v in nodes])
         out += [(tree, i, *v[:FEATURE], kept[v[FEATURE]] if v[FEATURE] >= 0 else -1, float(mine[v[FEATURE]][v[CUT]]) if v[FEATURE] >= 0 else None)
                 for i, v in enumerate(nodes)]
@@ -245,6 +249,8 @@ def grow(ready: DataFrame, features: Sequence[str], target: str, cuts: Sequence[
                 moved.checkpoint()
             state, stale = moved, [state]
     state.unpersist()
+    for file in files[-1:]:
+        discard(ready.sparkSession, file)
     return out
 
 

@@ -1,5 +1,7 @@
 """Trees grown over blocks of bytes are those that MLlib grows."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
@@ -55,9 +57,12 @@ def test_many_tasks_and_a_cut_lineage_change_nothing(ready, monkeypatch):
     _, a = _fit(ready, monkeypatch, 0)
     monkeypatch.setattr(boosting, "FEW_TASKS", 1)
     monkeypatch.setattr(boosting, "CUT_LINEAGE", 2)
-    ready.sparkSession.sparkContext.setCheckpointDir(ready.sparkSession.conf.get("spark.checkpoint.dir"))
+    spark = ready.sparkSession
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    kept = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(kept))
     _, b = _fit(ready, monkeypatch, 0)
-    assert max(abs(a[k][1] - b[k][1]) for k in a) < 1e-9
+    assert max(abs(a[k][1] - b[k][1]) for k in a) < 1e-9 and set(os.listdir(kept)) == before  # nothing stays in the folder
 
 
 def test_rows_of_one_kind_and_odd_rows(spark, monkeypatch):
